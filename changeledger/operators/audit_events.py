@@ -63,9 +63,9 @@ def col_or_null(df: DataFrame, name: str, data_type: str = "string") -> Column:
 
 def with_event_columns(df: DataFrame) -> DataFrame:
     """Complete a caller's event frame with the optional columns it lacks."""
-    for name, data_type in {"who": "int", "access_path": "string", "http_method": "string"}.items():
-        df = df.withColumn(name, col_or_null(df, name, data_type))
-    return df
+    optional = {"who": "int", "access_path": "string", "http_method": "string"}
+    lacking = {name: col_or_null(df, name, kind) for name, kind in optional.items() if name not in df.columns}
+    return df.withColumns(lacking) if lacking else df
 
 
 def filter_time_range(

@@ -30,6 +30,23 @@ def filter_commit_dates(
     return changes.where(times.within_range(F.col("date"), since, until))
 
 
+def _with_branches(rolled: DataFrame, keyed: DataFrame, grain: list[str]) -> DataFrame:
+    """Add the sorted branch names of each group.
+
+    Names are made distinct before they are gathered, so a list grows with a project's branches and
+    not with its commits. Doing this beside the counters would turn their hash aggregation into a
+    sorting one; both sides end up partitioned by the grain, so the join adds no shuffle.
+    """
+    named = keyed.where(F.col("branch").isNotNull()).select(*grain, "branch").distinct()
+    branches = named.groupBy(*[F.col(name).alias(f"_{name}") for name in grain]).agg(
+        F.sort_array(F.collect_list("branch")).alias("branches")
+    )
+    same = F.lit(True)
+    for name in grain:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return rolled.join(branches, same, "left").drop(*[f"_{name}" for name in grain])
+
+
 def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_branches: bool = False) -> DataFrame:
     """Activity per project, author, email and time grain, in the flattened contributor layout.
 
@@ -37,8 +54,7 @@ def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_b
     ms), merge, file, added_lines, deleted_lines and, for `extract_branches`, branch. Distinct
     commits and files are counted exactly by two-phase aggregation, so a contributor holding most
     of the rows is spread over tasks by commit and file; no commit list is gathered per group (the
-    `commits` column is null, commit ids come as rows from the changes themselves). Only the set
-    of branch names is gathered, which grows with a project's branches and not with its commits.
+    `commits` column is null, commit ids come as rows from the changes themselves).
     Counters are bigint: a busy contributor's total may exceed the int of a parsed line.
     """
     if aggregate not in GRAINS:
@@ -55,9 +71,10 @@ def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_b
         F.max("date").alias("last_commit_date"),
         F.bool_or("merge").alias("is_merge"),
     ]
+    grain = ["project", "author", "email", *parts]
+    rolled = keyed.groupBy(*grain).agg(*measures)
     if extract_branches:
-        measures.append(F.sort_array(F.collect_set("branch")).alias("branches"))
-    rolled = keyed.groupBy("project", "author", "email", *parts).agg(*measures)
+        rolled = _with_branches(rolled, keyed, grain)
     present = set(rolled.columns)
     layout = {("author" if name == "name" else name): t for name, t in CONTRIBUTOR_FIELDS.items()}
     return rolled.select(

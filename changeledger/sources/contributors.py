@@ -38,11 +38,13 @@ def read_contributor_lines(spark: SparkSession, root: str, project_sources: Data
 
     The landing root is read and joined with the projects, rather than listing one path per
     project: a project that was never landed simply gives no rows, and the join on the partition
-    column lets Spark skip the directories of other projects (dynamic partition pruning). The
+    column lets Spark skip the directories of other projects (dynamic partition pruning, which
+    Spark only tries when the small side has an ordering comparison, hence the test for a name). The
     explicit schema keeps numeric-looking project names as text.
     """
     landed = spark.read.schema("value string, project string").text(root)
-    wanted = project_sources.where(F.col("source").isNotNull()).select("project").distinct()
+    named = F.col("source").isNotNull() & (F.col("project") > "")
+    wanted = project_sources.where(named).select("project").distinct()
     return (
         drop_blank_lines(landed)
         .join(wanted, "project")

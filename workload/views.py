@@ -24,97 +24,83 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(part) if isinstance(part, str) else part.cast("string") for part in parts])
 
 
+RECORD_TYPE = """
+    CASE WHEN kind IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 16, 18) THEN 'SshAuditEvent'
+         WHEN kind IN (9, 11, 14, 15) THEN 'HttpAuditEvent'
+         WHEN kind = 19 THEN 'LegacyAuditEvent'
+         ELSE 'ExtendedHttpAuditEvent' END"""
+
+ACCESS_PATH = """
+    CASE WHEN kind <= 8 OR kind >= 18 THEN 'SSH_COMMAND' WHEN kind <= 11 THEN 'GIT'
+         WHEN kind <= 13 THEN 'REST_API' WHEN kind = 14 THEN 'UNKNOWN' WHEN kind = 15 THEN 'JSON_RPC'
+         WHEN kind = 17 THEN 'PLUGIN' END"""
+
+WHAT = f"""
+    CASE kind
+      WHEN 0 THEN concat('review.query.--format.json.--current-patch-set.(project:', p, ') commit:7f4e NOT is:draft')
+      WHEN 1 THEN concat('review.query.project:{{^', p, '}}.--format=JSON.--comments')
+      WHEN 2 THEN concat('git-receive-pack./', p)
+      WHEN 3 THEN concat('replication.start.', p, '.--wait.--now')
+      WHEN 4 THEN concat('review.query.--format=JSON.project:', p, '.plugins.io.status:open')
+      WHEN 5 THEN concat('review.index.project.', p)
+      WHEN 6 THEN concat(p, '.review.--force...')
+      WHEN 7 THEN concat('review.ls.--all.', p)
+      WHEN 8 THEN CASE event_type WHEN 'signup' THEN 'LOGIN' WHEN 'error' THEN 'LOGOUT' ELSE 'review.version' END
+      WHEN 9 THEN concat('{HOST}', p, '/info/refs?service=git-upload-pack')
+      WHEN 10 THEN concat('git-upload-pack./', p)
+      WHEN 11 THEN concat('{HOST}', p, '/git-receive-pack')
+      WHEN 12 THEN concat('/changes/', url_encode(p), '~', event_id, '/revisions/5/actions')
+      WHEN 13 THEN concat('/a/projects/', url_encode(p), '+x%20y/branches')
+      WHEN 14 THEN concat('/config/server/', event_type)
+      WHEN 15 THEN concat('ProjectAdminService.', event_type)
+      WHEN 16 THEN 'AUTH'
+      WHEN 17 THEN concat('/plugins/', event_type)
+      ELSE concat('review.query.project:', p) END"""
+
+
 def audit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Relational form of the audit log, with the kind of each record."""
-    kind = (F.col("event_id") % 20).cast("int").alias("kind")
-    events = table(spark, sf_dir, "events").select(
-        "*", kind, _text("nation", F.col("user_id") % 25, "/supplier-", F.col("user_id")).alias("p")
-    )
-    p, event_type = F.col("p"), F.col("event_type")
-    what = {
-        0: _text("review.query.--format.json.--current-patch-set.(project:", p, ") commit:7f4e NOT is:draft"),
-        1: _text("review.query.project:{^", p, "}.--format=JSON.--comments"),
-        2: _text("git-receive-pack./", p),
-        3: _text("replication.start.", p, ".--wait.--now"),
-        4: _text("review.query.--format=JSON.project:", p, ".plugins.io.status:open"),
-        5: _text("review.index.project.", p),
-        6: _text(p, ".review.--force..."),
-        7: _text("review.ls.--all.", p),
-        8: F.when(event_type == "signup", "LOGIN").when(event_type == "error", "LOGOUT").otherwise("review.version"),
-        9: _text(HOST, p, "/info/refs?service=git-upload-pack"),
-        10: _text("git-upload-pack./", p),
-        11: _text(HOST, p, "/git-receive-pack"),
-        12: _text("/changes/", F.url_encode(p), "~", F.col("event_id"), "/revisions/5/actions"),
-        13: _text("/a/projects/", F.url_encode(p), "+x%20y/branches"),
-        14: _text("/config/server/", event_type),
-        15: _text("ProjectAdminService.", event_type),
-        16: F.lit("AUTH"),
-        17: _text("/plugins/", event_type),
-        18: _text("review.query.project:", p),
-        19: _text("review.query.project:", p),
-    }
-    access_path = {
-        **{k: "SSH_COMMAND" for k in (0, 1, 2, 3, 4, 5, 6, 7, 8, 18, 19)},
-        **{k: "GIT" for k in (9, 10, 11)},
-        12: "REST_API", 13: "REST_API", 14: "UNKNOWN", 15: "JSON_RPC", 17: "PLUGIN",
-    }
-    record_type = {
-        **{k: "SshAuditEvent" for k in (0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 16, 18)},
-        **{k: "HttpAuditEvent" for k in (9, 11, 14, 15)},
-        **{k: "ExtendedHttpAuditEvent" for k in (12, 13, 17)},
-        19: "LegacyAuditEvent",
-    }
-
-    def pick(values: dict[int, str | Column]) -> Column:
-        chosen = F.lit(None).cast("string")
-        for number, value in values.items():
-            chosen = F.when(F.col("kind") == number, value).otherwise(chosen)
-        return chosen
-
-    failed = event_type == "error"
-    is_ssh = F.col("type") == "SshAuditEvent"
+    """Relational form of the audit log; twenty kinds of record, by event id."""
     return (
-        events.select("*", pick(record_type).alias("type"))
-        .select(
-            "event_id",
+        table(spark, sf_dir, "events")
+        .selectExpr(
+            "*",
+            "CAST(event_id % 20 AS INT) AS kind",
+            "concat('nation', user_id % 25, '/supplier-', user_id) AS p",
+            "CASE WHEN event_type = 'error' THEN array('FAIL', '500') ELSE array('0', '200') END AS results",
+        )
+        .selectExpr("*", f"{RECORD_TYPE} AS type")
+        .selectExpr(
             "kind",
             "type",
-            pick(access_path).alias("access_path"),
-            F.when((F.col("event_id") % 10 != 0) & (F.col("kind") != 16), F.col("user_id").cast("int")).alias("who"),
-            F.unix_millis(F.col("ts").cast("timestamp")).alias("time_at_start"),
-            pick(what).alias("what"),
-            F.floor("value").cast("int").alias("elapsed"),
-            _text("audit:", F.col("event_id")).alias("uuid"),
-            _text("s", F.col("user_id")).alias("session_id"),
-            F.when(~is_ssh, F.when(event_type == "purchase", "POST").otherwise("GET")).alias("http_method"),
-            F.when(is_ssh, F.when(failed, "FAIL").otherwise("0"))
-            .otherwise(F.when(failed, "500").otherwise("200"))
-            .alias("result"),
+            f"{ACCESS_PATH} AS access_path",
+            "CASE WHEN event_id % 10 <> 0 AND kind <> 16 THEN CAST(user_id AS INT) END AS who",
+            "unix_millis(CAST(ts AS TIMESTAMP)) AS time_at_start",
+            f"{WHAT} AS what",
+            "CAST(floor(value) AS INT) AS elapsed",
+            "concat('audit:', event_id) AS uuid",
+            "concat('s', user_id) AS session_id",
+            "CASE WHEN type <> 'SshAuditEvent' THEN if(event_type = 'purchase', 'POST', 'GET') END AS http_method",
+            "if(type = 'SshAuditEvent', results[0], results[1]) AS result",
         )
     )
 
 
 def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as JSON lines; records of kind 18 are cut off in the middle."""
-    is_ssh = F.col("type") == "SshAuditEvent"
-    who = F.struct(
-        "access_path", F.when(F.col("who").isNotNull(), F.struct(F.col("who").alias("id"))).alias("account_id")
-    )
-    event = F.struct(
-        "http_method",
-        F.when(~is_ssh, F.col("result").cast("int")).alias("http_status"),
-        "session_id",
-        F.when(F.col("kind") != 16, who).alias("who"),
-        F.col("time_at_start").alias("when"),
-        "what",
-        "time_at_start",
-        "elapsed",
-        F.struct("uuid").alias("uuid"),
-        F.when(is_ssh, F.col("result")).alias("result"),
-    )
-    records = audit_records(spark, sf_dir).select("kind", F.to_json(F.struct("type", event.alias("event"))).alias("json"))
-    cut = F.substr(F.col("json"), F.lit(1), F.lit(60))
-    return records.select(F.when(F.col("kind") == 18, cut).otherwise(F.col("json")).alias("value"))
+    """The log as JSON lines; records of kind 18 are not JSON."""
+    event = """named_struct(
+        'http_method', http_method,
+        'http_status', CASE WHEN type <> 'SshAuditEvent' THEN CAST(result AS INT) END,
+        'session_id', session_id,
+        'who', CASE WHEN kind <> 16 THEN named_struct(
+            'access_path', access_path, 'account_id', CASE WHEN who IS NOT NULL THEN named_struct('id', who) END) END,
+        'when', time_at_start,
+        'what', what,
+        'time_at_start', time_at_start,
+        'elapsed', elapsed,
+        'uuid', named_struct('uuid', uuid),
+        'result', CASE WHEN type = 'SshAuditEvent' THEN result END)"""
+    line = f"to_json(named_struct('type', type, 'event', {event}))"
+    return audit_records(spark, sf_dir).selectExpr(f"concat(if(kind = 18, '#', ''), {line}) AS value")
 
 
 def known_project_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
