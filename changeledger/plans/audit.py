@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.audit_columns import count_facets, with_command_columns, with_sub_command
 from ..operators.audit_events import filter_time_range, with_event_columns, with_time_bucket
+from ..operators.broadcasting import broadcast_if_small
 from ..operators.known_projects import with_project_of_distinct
 from ..operators.users import with_user_columns
 from ..session import configure
@@ -69,11 +70,14 @@ class AuditJob:
 
 def build_audit_counts(spark: SparkSession, job: AuditJob) -> DataFrame:
     configure(spark)
+    known = None
+    if job.known_projects_path:
+        known = broadcast_if_small(read_known_projects(spark, job.known_projects_path))
     return aggregate_events(
         read_audit_log(spark, job.events_path),
         accounts=read_accounts(spark, job.accounts_path) if job.accounts_path else None,
         user_types=read_user_types(spark, job.additional_user_info_path),
-        known_projects=read_known_projects(spark, job.known_projects_path) if job.known_projects_path else None,
+        known_projects=known,
         unit=job.events_time_aggregation,
         since=job.since,
         until=job.until,

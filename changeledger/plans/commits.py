@@ -1,4 +1,7 @@
-"""Commits job: landed contributor lines -> organisation, aliases, tags -> documents."""
+"""Commits job: contributor activity -> organisation, aliases, tags -> documents.
+
+The activity is either landed per project as contributor lines, or computed from raw commit changes.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.broadcasting import broadcast_if_small
 from ..operators.contributors import (
     apply_aliases,
     drop_commits,
@@ -19,6 +23,7 @@ from ..operators.rollup import filter_commit_dates, roll_up_contributors
 from ..schemas import PROJECT
 from ..session import configure, scratch_dir
 from ..sinks.documents import Target, write_all
+from ..sources.changes import read_commit_changes
 from ..sources.contributors import landing_location, read_contributor_lines, with_source
 from ..sources.csv_lists import read_aliases
 from ..sources.manifest import read_manifest
@@ -27,9 +32,18 @@ from ..sources.server_pages import read_project_listing
 
 @dataclass(frozen=True)
 class CommitsJob:
-    """Options of the commits job."""
+    """Options of the commits job.
+
+    `aggregate`, `since`, `until` and `extract_branches` shape the activity computed from
+    `changes_path`; landed lines were shaped when they were landed.
+    """
 
     landing_root: str | None = None
+    changes_path: str | None = None
+    aggregate: str | None = None
+    since: str | dt.date | None = None
+    until: str | dt.date | None = None
+    extract_branches: bool = False
     listing_path: str | None = None
     prefix: str | None = None
     manifest: str | None = None
@@ -39,6 +53,11 @@ class CommitsJob:
     output_dir: str | None = None
     index: Target | None = None
 
+    def __post_init__(self) -> None:
+        shaping = (self.aggregate, self.since, self.until, self.extract_branches or None)
+        if self.changes_path is None and any(option is not None for option in shaping):
+            raise ValueError("aggregate, since, until and extract_branches need changes_path")
+
 
 def contributor_stats(spark: SparkSession, projects: DataFrame, root: str | None, with_commits: bool = True) -> DataFrame:
     """Flat contributor rows of the projects landed under the root."""
@@ -84,8 +103,16 @@ def project_stats(stats: DataFrame, job: CommitsJob, aliases: DataFrame | None)
 
 def build_project_stats(spark: SparkSession, job: CommitsJob) -> DataFrame:
     configure(spark)
-    stats = contributor_stats(spark, select_projects(spark, job), job.landing_root, with_commits=False)
-    return project_stats(stats, job, read_aliases(spark, job.email_aliases))
+    projects = select_projects(spark, job)
+    if job.changes_path is not None:
+        changes = read_commit_changes(spark, job.changes_path, projects)
+        stats = contributor_stats_of_changes(
+            changes, job.aggregate or "email", job.since, job.until, job.extract_branches
+        )
+    else:
+        stats = contributor_stats(spark, projects, job.landing_root, with_commits=False)
+    aliases = read_aliases(spark, job.email_aliases)
+    return project_stats(stats, job, None if aliases is None else broadcast_if_small(aliases))
 
 
 def run_commits_job(spark: SparkSession, job: CommitsJob, count: bool = False) -> int | None:

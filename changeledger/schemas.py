@@ -25,6 +25,12 @@ CONTRIBUTOR_FIELDS = {
     "starting_revision": "string",
 }
 
+# One file touched by one commit; `date` is in epoch milliseconds.
+COMMIT_CHANGE = """
+    project string, author string, email string, sha1 string, date bigint, merge boolean,
+    file string, added_lines bigint, deleted_lines bigint, branch string
+"""
+
 # Superset of the HTTP, extended HTTP and SSH audit records.
 AUDIT_LINE = """
     type string,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_not_blank
+from ..operators.broadcasting import broadcast_if_small
 
 
 def landing_location(root: str | None) -> Callable[[Column, Column, Column], Column]:
@@ -44,7 +45,7 @@ def read_contributor_lines(spark: SparkSession, root: str, project_sources: Data
     """
     landed = spark.read.schema("value string, project string").text(root)
     named = F.col("source").isNotNull() & (F.col("project") > "")
-    wanted = project_sources.where(named).select("project").distinct()
+    wanted = broadcast_if_small(project_sources.where(named).select("project").distinct())
     return (
         drop_blank_lines(landed)
         .join(wanted, "project")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeledger.operators.audit_events import filter_time_range, parse_audit_lines
+from changeledger.operators.broadcasting import broadcast_if_small
 from changeledger.operators.contributors import apply_aliases, flatten_contributors
 from changeledger.operators.known_projects import with_project_of_distinct
 from changeledger.operators.users import with_user_columns
@@ -135,3 +136,14 @@ def test_only_landed_directories_of_wanted_projects_are_read(spark, tmp_path):
     lines = read_contributor_lines(spark, str(tmp_path), projects)
     assert lines.groupBy("project").count().collect()[0][:] == ("b", 2000)
     assert "dynamicpruningexpression(project" in executed(lines)
+
+
+def test_broadcast_depends_on_the_measured_size(spark, conf, rows):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    stats = spark.range(100).select(F.lit("a").alias("author"), F.col("id").cast("string").alias("email"), F.lit("x").alias("organization"))
+    aliases = spark.range(50).select(F.lit("A").alias("author"), F.col("id").cast("string").alias("email"), F.lit("Y").alias("organization"))
+    hinted = apply_aliases(stats, broadcast_if_small(aliases))
+    unhinted = apply_aliases(stats, broadcast_if_small(aliases, limit_bytes=50))
+    assert "BroadcastHashJoin" in plan(hinted) and "SortMergeJoin" in plan(unhinted)
+    assert rows(hinted) == rows(unhinted)
+    assert broadcast_if_small(aliases.where("false"), limit_bytes=0).count() == 0

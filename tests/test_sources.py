@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeledger.plans.commits import CommitsJob, build_project_stats, contributor_stats, run_commits_job, select_projects
+from changeledger.schemas import COMMIT_CHANGE
 from changeledger.sinks.documents import Target
 from changeledger.sources.audit_logs import read_audit_log
 from changeledger.sources.contributors import drop_blank_lines, landing_location, read_contributor_lines, with_source
@@ -177,3 +178,28 @@ def test_commits_job(spark, tmp_path, rows):
     # A branch or label without a manifest tags nothing.
     untagged = build_project_stats(spark, CommitsJob(landing_root=str(tmp_path / "land"), manifest_label="rel", manifest_branch="b"))
     assert "manifest_label" not in untagged.columns and "manifest_branch" not in untagged.columns
+
+
+def test_commits_job_over_changes(spark, tmp_path, rows):
+    changes = spark.createDataFrame(
+        [
+            ("m", "ada", "ada@corp.com", "c1", 1_514_764_800_000, False, "f1", 1, 2, "main"),
+            ("m", "ada", "ada@corp.com", "c2", 1_514_764_800_000, True, "f1", 1, 2, "dev"),
+            ("m", "ada", "ada@corp.com", "c3", 1_577_836_800_000, False, "f2", 1, 2, "main"),
+            ("z", "ada", "ada@corp.com", "c4", 1_514_764_800_000, False, "f2", 1, 2, "main"),
+        ],
+        COMMIT_CHANGE,
+    )
+    changes.write.parquet(str(tmp_path / "changes"))
+    listing = write(tmp_path / "l.json", PREFIX + '{"m": {"id": "m"}, "z": {"id": "z"}}')
+    job = CommitsJob(
+        changes_path=str(tmp_path / "changes"), listing_path=listing, prefix="m", aggregate="email_year",
+        until="2019-01-01", extract_branches=True,
+    )
+    stats = build_project_stats(spark, job)
+    shown = stats.select("project", "author", "organization", "year", "num_commits", "num_distinct_files", "branches")
+    assert rows(shown) == [("m", "ada", "corp", 2018, 2, 1, ("dev", "main"))]
+    scan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(date," in scan
+    with pytest.raises(ValueError, match="changes_path"):
+        CommitsJob(landing_root="x", since="2018-01-01")

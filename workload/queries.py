@@ -73,7 +73,9 @@ def _land_contributors(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_dir(spark, "contributors")
     lines = views.contributor_lines(spark, sf_dir)
     padded = F.explode(F.array(F.col("json"), F.lit(""), F.lit(" \t ")))
-    lines.select(padded.alias("value"), "project").write.partitionBy("project").text(root)
+    # Rebalancing gives few files per project and still splits a project that dominates.
+    rebalanced = lines.select(padded.alias("value"), "project").hint("rebalance", F.col("project"))
+    rebalanced.write.partitionBy("project").text(root)
     return root
 
 
@@ -95,7 +97,7 @@ def s2_contributor_lines_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _land_contributors(spark, sf_dir)
     sources = landed.with_source(_wanted_projects(spark, sf_dir), landed.landing_location(root))
     lines = landed.read_contributor_lines(spark, root, sources)
-    return lines.select("project", F.get_json_object("json", "$.email").alias("email"), F.length("json").alias("line_length"))
+    return lines.select("project", F.get_json_object("json", "$.email").alias("email"), F.length("json").cast("bigint").alias("line_length"))
 
 
 @query
@@ -116,7 +118,8 @@ def s3_project_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('"'), F.col("s_name"), F.lit('": '), F.regexp_replace(quoted, r"\}$", ",}")).alias("entry"), "s_suppkey"
     )
     pages = views.as_pages(entries, F.col("s_suppkey"), "{", ",\n}")
-    return server_pages.read_project_listing(spark, _write_pages(pages, scratch_dir(spark, "listing")))
+    listed = server_pages.read_project_listing(spark, _write_pages(pages, scratch_dir(spark, "listing")))
+    return listed.select("id", "name", F.col("ref_name").isNull().alias("without_ref"))
 
 
 @query
@@ -244,7 +247,13 @@ def p4_audit_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p5_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     partial = _events(spark, sf_dir).drop("who", "http_method")
-    return audit_events.with_event_columns(partial).select("uuid", "who", "http_method", "access_path")
+    completed = audit_events.with_event_columns(partial)
+    return completed.select(
+        "uuid",
+        "access_path",
+        F.col("who").isNull().alias("who_is_null"),
+        F.col("http_method").isNull().alias("http_method_is_null"),
+    )
 
 
 @query
@@ -390,7 +399,7 @@ def x6_decode_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "pages").select(
         "page_id",
         project_fields.decode_project(url).alias("decoded"),
-        project_fields.decode_project(F.concat("url", F.lit("%zz"))).alias("malformed"),
+        project_fields.decode_project(F.concat("url", F.lit("%zz"))).isNull().alias("malformed_is_null"),
     )
 
 
@@ -440,8 +449,8 @@ def t4_text_to_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "event_id",
         times.text_to_epoch_ms(written).alias("epoch_ms"),
-        times.text_to_epoch_ms(written, times.DATE_FORMAT).alias("without_time"),
-        times.text_to_epoch_ms(F.concat(F.lit("x"), written)).alias("malformed"),
+        times.text_to_epoch_ms(written, times.DATE_FORMAT).isNull().alias("without_time_is_null"),
+        times.text_to_epoch_ms(F.concat(F.lit("x"), written)).isNull().alias("malformed_is_null"),
     )
 
 
@@ -451,8 +460,8 @@ def t5_text_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.date_format("ts", "yyyy-MM-dd")
     return rows.select(
         "event_id",
-        times.text_to_date(written).alias("day"),
-        times.text_to_date(F.concat(written, F.lit(" 10:00:00"))).alias("malformed"),
+        times.text_to_date(written).cast("string").alias("day"),
+        times.text_to_date(F.concat(written, F.lit(" 10:00:00"))).isNull().alias("malformed_is_null"),
     )
 
 
@@ -478,7 +487,7 @@ def t8_zero_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _event_times(spark, sf_dir)
     types = views.table(spark, sf_dir, "events").select("event_id", "event_type")
     bound = F.when(F.col("event_type") == "error", F.timestamp_seconds(F.lit(0))).otherwise(F.col("ts"))
-    return rows.join(types, "event_id").select("event_id", times.bound_or_none(bound).alias("bound"))
+    return rows.join(types, "event_id").select("event_id", times.bound_or_none(bound).cast("string").alias("bound"))
 
 
 # --- aggregation -----------------------------------------------------------------------------
@@ -504,10 +513,11 @@ def g2_commit_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _register_rollup(aggregate: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stats = commits.contributor_stats_of_changes(
-            views.commit_changes(spark, sf_dir), aggregate, extract_branches=aggregate in ("email", "email_year")
-        )
-        return stats.drop("commits", "hash_tags").withColumn("branches", F.array_join("branches", ";"))
+        with_branches = aggregate in ("email", "email_year")
+        stats = commits.contributor_stats_of_changes(views.commit_changes(spark, sf_dir), aggregate, extract_branches=with_branches)
+        measures = ["num_files", "num_distinct_files", "added_lines", "deleted_lines", "num_commits", "last_commit_date", "is_merge"]
+        branches = [F.array_join("branches", ";").alias("branches")] if with_branches else []
+        return stats.select("project", "author", "email", *rollup.GRAINS[aggregate], *measures, *branches)
 
     run.__name__ = f"g3_rollup_{aggregate}"
     query(run)
@@ -574,6 +584,26 @@ def m3_project_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("project", "author", "email", "organization", "last_commit_date", "manifest_label", "manifest_branch")
 
 
+@query
+def m3_project_stats_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job over raw commit changes of the projects in a listing."""
+    changes_path, listing_path = scratch_dir(spark, "changes"), scratch_dir(spark, "listing")
+    views.commit_changes(spark, sf_dir).write.parquet(changes_path)
+    names = _wanted_projects(spark, sf_dir).select("id", "name", F.regexp_extract("name", r"nation(\d+)/", 1).cast("int").alias("nation"))
+    entry = F.concat(F.lit('"'), F.col("name"), F.lit('": {"id": "'), F.col("id"), F.lit('"}'))
+    pages = views.as_pages(names.select(entry.alias("entry"), "nation"), F.col("nation") * views.PAGE_SIZE, "{", "}")
+    _write_pages(pages, listing_path)
+    job = commits.CommitsJob(
+        changes_path=changes_path, listing_path=listing_path, prefix="nation1",
+        aggregate="email_month", since=COMMITS_SINCE, until=COMMITS_UNTIL, extract_branches=True,
+    )
+    rows = commits.build_project_stats(spark, job)
+    return rows.select(
+        "project", "email", "organization", "year", "month", "num_files", "num_distinct_files", "num_commits",
+        F.array_join("branches", ";").alias("branches"),
+    )
+
+
 def _register_audit(unit: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _untyped(_counts(spark, sf_dir, unit), "events_time_bucket")
