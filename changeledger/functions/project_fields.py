@@ -28,6 +28,10 @@ PACK_OVER_HTTP = r"https?:\/\/(.+)\/(?:git-upload-pack|git-receive-pack)"
 WITHOUT_PROJECT = ["LOGIN", "LOGOUT", "AUTH"]
 
 
+def no_names() -> Column:
+    return F.array().cast("array<string>")
+
+
 def concerns_no_project(what: Column) -> Column:
     found = F.lit(False)
     for word in WITHOUT_PROJECT:
@@ -62,8 +66,7 @@ def leading_runs(text: Column, separator: str, longest: Column) -> Column:
     """Runs of leading tokens, longest first, at most `longest` tokens.
 
     `longest` is the token count of the longest known project, so nothing that could match is
-    left out, and the work per text stays linear however many separators it holds. A single
-    `substring_index` beyond the token count returns the whole text, hence `array_distinct`.
+    left out, and the work per text stays linear however many separators it holds.
     """
     return _runs(text, separator, longest, leading=True)
 
@@ -76,14 +79,13 @@ def trailing_runs(text: Column, separator: str, longest: Column) -> Column:
 def _runs(text: Column, separator: str, longest: Column, leading: bool) -> Column:
     # Empty tokens at the end of the text do not count.
     trimmed = F.rtrim(text, F.lit(separator))
+    separators = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(separator), F.lit("")))
 
     def run(size: Column) -> Column:
         return F.call_function("substring_index", trimmed, F.lit(separator), size if leading else -size)
 
-    return F.when(
-        trimmed.isNotNull() & (longest > 0),
-        F.array_distinct(F.transform(F.sequence(longest, F.lit(1), F.lit(-1)), run)),
-    ).otherwise(F.array().cast("array<string>"))
+    sizes = F.sequence(F.least(longest, separators + 1), F.lit(1), F.lit(-1))
+    return F.when(trimmed.isNotNull() & (longest > 0), F.transform(sizes, run)).otherwise(no_names())
 
 
 def projects_to_look_up(
@@ -99,8 +101,8 @@ def projects_to_look_up(
         capture(what, PACK_INFO_OVER_HTTP), capture(what, PACK_OVER_SSH), capture(what, PACK_OVER_HTTP)
     )
     return (
-        F.when(concerns_no_project(what), F.array().cast("array<string>"))
+        F.when(concerns_no_project(what), no_names())
         .when(access_path == "SSH_COMMAND", F.array_distinct(ssh))
         .when(access_path == "GIT", trailing_runs(git_target, "/", longest_slashed))
-        .otherwise(F.array().cast("array<string>"))
+        .otherwise(no_names())
     )

@@ -13,6 +13,7 @@ DATE_TIME_NANOS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSSSSS"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 STAMP_FORMATS = ["yyyyMMddHH", "yyyyMMdd", "yyyyMM", "yyyy"]
 BUCKET_UNITS = ["second", "minute", "hour", "day", "week", "month", "quarter", "year"]
+BUCKET_UNIT_SYNONYMS = ["dd", "mon", "mm", "yy", "yyyy"]
 
 
 def epoch_ms_to_timestamp(ms: Column) -> Column:
@@ -33,7 +34,7 @@ def now() -> Column:
 
 
 def time_bucket(ms: Column, unit: str = "hour") -> Column:
-    if unit.lower() not in BUCKET_UNITS:
+    if unit.lower() not in BUCKET_UNITS + BUCKET_UNIT_SYNONYMS:
         raise ValueError(f"unknown time unit '{unit}', expected one of {', '.join(BUCKET_UNITS)}")
     return F.date_trunc(unit.lower(), epoch_ms_to_second(ms))
 

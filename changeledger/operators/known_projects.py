@@ -72,7 +72,7 @@ def _audit_candidates() -> Column:
     listed = project_fields.projects_to_look_up(
         F.col("what"), F.col("access_path"), F.col(LONGEST["."]), F.col(LONGEST["/"])
     )
-    return F.when(F.col("_spelled_out").isNull(), listed).otherwise(F.array().cast("array<string>"))
+    return F.when(F.col("_spelled_out").isNull(), listed).otherwise(project_fields.no_names())
 
 
 def _with_spelled_out(df: DataFrame) -> DataFrame:

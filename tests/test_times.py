@@ -27,6 +27,7 @@ def value(spark):
         ("month", dt.datetime(2019, 5, 1)),
         ("QUARTER", dt.datetime(2019, 4, 1)),
         ("year", dt.datetime(2019, 1, 1)),
+        ("mon", dt.datetime(2019, 5, 1)),
     ],
 )
 def test_buckets(value, unit, expected):

@@ -112,11 +112,9 @@ def _write_pages(pages: DataFrame, path: str) -> str:
 
 @query
 def s3_project_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = views.table(spark, sf_dir, "supplier")
-    quoted = F.to_json(F.struct(project_fields.encode_project(F.col("s_name")).alias("id")))
-    entries = suppliers.select(
-        F.concat(F.lit('"'), F.col("s_name"), F.lit('": '), F.regexp_replace(quoted, r"\}$", ",}")).alias("entry"), "s_suppkey"
-    )
+    # Trailing commas occur in listings and must not matter.
+    entry = """concat('"', s_name, '": {"id": "', url_encode(s_name), '",}')"""
+    entries = views.table(spark, sf_dir, "supplier").selectExpr(f"{entry} AS entry", "s_suppkey")
     pages = views.as_pages(entries, F.col("s_suppkey"), "{", ",\n}")
     listed = server_pages.read_project_listing(spark, _write_pages(pages, scratch_dir(spark, "listing")))
     return listed.select("id", "name", F.col("ref_name").isNull().alias("without_ref"))
@@ -124,11 +122,15 @@ def s3_project_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def s4_known_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = views.known_project_entries(spark, sf_dir)
-    # Every name is listed twice, and another state must not appear at all.
-    repeated = entries.withColumn("state", F.explode(F.array("state", "state", F.lit("HIDDEN"))))
-    named = repeated.withColumn("name", F.when(F.col("state") == "HIDDEN", F.concat("name", F.lit("-hidden"))).otherwise(F.col("name")))
-    pages = views.as_pages(named.select(F.to_json(F.struct("name", "state")).alias("entry"), "s_suppkey"), F.col("s_suppkey"))
+    # Every name is listed twice, and a project in another state must not appear at all.
+    entries = views.known_project_entries(spark, sf_dir).selectExpr(
+        """explode(array(
+            to_json(named_struct('name', name, 'state', state)),
+            to_json(named_struct('name', name, 'state', state)),
+            to_json(named_struct('name', concat(name, '-hidden'), 'state', 'HIDDEN')))) AS entry""",
+        "s_suppkey",
+    )
+    pages = views.as_pages(entries, F.col("s_suppkey"))
     return server_pages.read_known_projects(spark, _write_pages(pages, scratch_dir(spark, "known-projects")))
 
 
@@ -157,20 +159,14 @@ def s7_user_type_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def s8_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.concat(F.lit("nation"), F.col("s_nationkey").cast("string"), F.lit("/"), F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))), F.lit(".git"))
-    revision = F.when(F.col("s_acctbal") >= 0, F.concat(F.lit(' revision="refs/tags/v'), F.col("s_nationkey").cast("string"), F.lit('"')))
-    entries = views.table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit('<project name="'), name, F.lit('"'), F.coalesce(revision, F.lit("")), F.lit(' path="x"><linkfile src="a" dest="b"/></project>')).alias("entry"),
-        "s_suppkey",
-    )
-    pages = (
-        entries.select("entry", F.floor(F.col("s_suppkey") / views.PAGE_SIZE).alias("page"))
-        .groupBy("page")
-        .agg(F.array_join(F.collect_list("entry"), "\n").alias("entries"))
-        .select(F.concat(F.lit('<manifest>\n<remote name="r"/>\n<default revision=" main " remote="r"/>\n'), "entries", F.lit("\n</manifest>")).alias("value"), "page")
-    )
-    read = manifest.read_manifest(spark, _write_pages(pages, scratch_dir(spark, "manifest")))
-    return read
+    entry = """concat(
+        '<project name="nation', s_nationkey, '/', lower(replace(s_name, '#', '-')), '.git"',
+        if(s_acctbal >= 0, concat(' revision="refs/tags/v', s_nationkey, '"'), ''),
+        ' path="x"><linkfile src="a" dest="b"/></project>')"""
+    entries = views.table(spark, sf_dir, "supplier").selectExpr(f"{entry} AS entry", "s_suppkey")
+    opening = '<manifest>\n<remote name="r"/>\n<default revision=" main " remote="r"/>\n'
+    documents = views.as_documents(entries, F.floor(F.col("s_suppkey") / views.PAGE_SIZE), opening, "\n", "\n</manifest>")
+    return manifest.read_manifest(spark, _write_pages(documents, scratch_dir(spark, "manifest")))
 
 
 # --- sinks -----------------------------------------------------------------------------------
@@ -212,7 +208,12 @@ def k3_written_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p1_drop_response_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = views.table(spark, sf_dir, "documents")
-    return documents.select("doc_id", text.drop_response_prefix(F.concat(F.lit(")]}'\n"), F.col("text"))).alias("body"), text.drop_response_prefix(F.col("text")).alias("rest"))
+    prefixed = F.concat(F.lit(")]}'\n"), F.col("text"))
+    return documents.select(
+        "doc_id",
+        text.drop_response_prefix(prefixed).alias("body"),
+        text.drop_response_prefix(F.col("text")).alias("rest"),
+    )
 
 
 @query
@@ -221,7 +222,7 @@ def p2_flatten_contributors(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Nested values are compared as text.
     return rows.withColumns(
         {
-            "commits": F.array_join(F.transform("commits", lambda c: F.concat(c.sha1, F.lit(":"), c.date.cast("string"), F.lit(":"), c.merge.cast("string"))), ";"),
+            "commits": F.expr("array_join(transform(commits, c -> concat_ws(':', c.sha1, c.date, c.merge)), ';')"),
             "branches": F.array_join("branches", ";"),
             "hash_tags": F.array_join("hash_tags", ";"),
         }
@@ -338,11 +339,9 @@ def j6_project_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing restricted to a prefix, then joined with the landed lines."""
     root = _land_contributors(spark, sf_dir)
     path = scratch_dir(spark, "selection")
-    numbered = views.table(spark, sf_dir, "nation").select(
-        F.concat(F.lit('"nation'), F.col("n_nationkey").cast("string"), F.lit('/building": {"id": "nation'), F.col("n_nationkey").cast("string"), F.lit('%2Fbuilding"}')).alias("entry"),
-        "n_nationkey",
-    )
-    _write_pages(views.as_pages(numbered, F.col("n_nationkey"), "{", "}"), path)
+    entry = """concat('"nation', n_nationkey, '/building": {"id": "nation', n_nationkey, '%2Fbuilding"}')"""
+    entries = views.table(spark, sf_dir, "nation").selectExpr(f"{entry} AS entry", "n_nationkey")
+    _write_pages(views.as_pages(entries, F.col("n_nationkey"), "{", "}"), path)
     job = commits.CommitsJob(landing_root=root, listing_path=path, prefix="nation1")
     stats = commits.contributor_stats(spark, commits.select_projects(spark, job), root, with_commits=False)
     return stats.groupBy("project").agg(F.count(F.lit(1)).alias("rows"), F.sum("added_lines").alias("added_lines"))
@@ -554,7 +553,9 @@ def g4_top_receive_pack_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m1_contributor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _land_contributors(spark, sf_dir)
     stats = commits.contributor_stats(spark, _wanted_projects(spark, sf_dir), root)
-    return stats.select("project", "author", "email", "year", "day", "num_files", "last_commit_date", "is_merge", F.size("commits").alias("commits"))
+    return stats.select(
+        "project", "author", "email", "year", "day", "num_files", "last_commit_date", "is_merge", F.size("commits").alias("commits")
+    )
 
 
 @query
@@ -569,13 +570,11 @@ def m3_project_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole commits job up to its sinks, projects taken from a manifest."""
     root = _land_contributors(spark, sf_dir)
     manifest_path, aliases_path = scratch_dir(spark, "manifest"), scratch_dir(spark, "aliases")
-    entries = _wanted_projects(spark, sf_dir).select(
-        F.concat(F.lit('<project name="'), F.col("name"), F.lit('"/>')).alias("entry"), F.regexp_extract("name", r"nation(\d+)/", 1).alias("page")
-    )
-    documents = entries.groupBy("page").agg(
-        F.concat(F.lit('<manifest><default revision="main"/>'), F.array_join(F.collect_list("entry"), ""), F.lit("</manifest>")).alias("value")
+    entries = _wanted_projects(spark, sf_dir).selectExpr(
+        """concat('<project name="', name, '"/>') AS entry""", "regexp_extract(name, 'nation([0-9]+)/', 1) AS nation"
     )
-    _write_pages(documents.select("value", "page"), manifest_path)
+    opening = '<manifest><default revision="main"/>'
+    _write_pages(views.as_documents(entries, F.col("nation"), opening, "", "</manifest>"), manifest_path)
     views.aliases(spark, sf_dir).write.csv(aliases_path, header=True)
     job = commits.CommitsJob(
         landing_root=root, manifest=manifest_path, manifest_label="release-1", manifest_branch="main", email_aliases=aliases_path
@@ -589,9 +588,11 @@ def m3_project_stats_of_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same job over raw commit changes of the projects in a listing."""
     changes_path, listing_path = scratch_dir(spark, "changes"), scratch_dir(spark, "listing")
     views.commit_changes(spark, sf_dir).write.parquet(changes_path)
-    names = _wanted_projects(spark, sf_dir).select("id", "name", F.regexp_extract("name", r"nation(\d+)/", 1).cast("int").alias("nation"))
-    entry = F.concat(F.lit('"'), F.col("name"), F.lit('": {"id": "'), F.col("id"), F.lit('"}'))
-    pages = views.as_pages(names.select(entry.alias("entry"), "nation"), F.col("nation") * views.PAGE_SIZE, "{", "}")
+    names = _wanted_projects(spark, sf_dir).selectExpr(
+        """concat('"', name, '": {"id": "', id, '"}') AS entry""",
+        "CAST(regexp_extract(name, 'nation([0-9]+)/', 1) AS INT) AS nation",
+    )
+    pages = views.as_documents(names, F.col("nation"), ")]}'\n{", ",", "}")
     _write_pages(pages, listing_path)
     job = commits.CommitsJob(
         changes_path=changes_path, listing_path=listing_path, prefix="nation1",

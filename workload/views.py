@@ -245,14 +245,12 @@ def contributor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return commits.select("project", F.concat(F.to_json(line), tail).alias("json"))
 
 
-def as_pages(entries: DataFrame, key: Column, opening: str = "[", closing: str = "]") -> DataFrame:
-    """(`value`, `page`): JSON entries gathered into server responses of at most PAGE_SIZE.
+def as_documents(entries: DataFrame, page: Column, opening: str, separator: str, closing: str) -> DataFrame:
+    """(`value`, `page`): entries gathered into one document per page. Pages must be bounded."""
+    gathered = F.concat(F.lit(opening), F.array_join(F.collect_list("entry"), separator), F.lit(closing))
+    return entries.select("entry", page.alias("page")).groupBy("page").agg(gathered.alias("value")).select("value", "page")
 
-    `key` numbers the entries, so a page takes a bounded run of them.
-    """
-    return (
-        entries.select("entry", F.floor(key / PAGE_SIZE).alias("page"))
-        .groupBy("page")
-        .agg(F.concat(F.lit(")]}'\n" + opening), F.array_join(F.collect_list("entry"), ","), F.lit(closing)).alias("value"))
-        .select("value", "page")
-    )
+
+def as_pages(entries: DataFrame, key: Column, opening: str = "[", closing: str = "]") -> DataFrame:
+    """Server responses of at most PAGE_SIZE numbered entries, with the prefix servers send."""
+    return as_documents(entries, F.floor(key / PAGE_SIZE), ")]}'\n" + opening, ",", closing)
