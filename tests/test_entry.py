@@ -37,6 +37,8 @@ def test_query_matches_sql(spark, duck, name):
     relation = duck.sql(__spark_entry__.oracle_sql()[name])
     columns = sorted(df.columns)
     assert columns == sorted(relation.columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in ("EvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin") if node in plan]
 
     def canonical(rows, names):
         order = [names.index(c) for c in columns]

@@ -112,6 +112,22 @@ def test_a_catalogue_too_large_to_broadcast_gives_the_same_projects(spark, tmp_p
     assert "SortMergeJoin" in executed(large) and "BroadcastHashJoin" not in executed(large)
 
 
+def test_a_name_tried_by_every_text_is_split_over_tasks(spark, conf):
+    """Catalogue too large to broadcast, and two candidate names common to all texts."""
+    conf(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="8KB", adaptive__skewJoin__skewedPartitionFactor="2",
+        adaptive__advisoryPartitionSizeInBytes="8KB", adaptive__coalescePartitions__minPartitionSize="1KB",
+        shuffle__partitions="16",
+    )
+    number = F.col("id").cast("string")
+    texts = spark.range(50_000).select(F.concat(F.lit("review.ls.team/"), number).alias("what"), F.lit("SSH_COMMAND").alias("access_path"))
+    known = spark.range(3000).select(F.concat(F.lit("team/"), number).alias("name"))
+    resolved = with_project_of_distinct(texts.distinct(), known)
+    assert "skew=true" in executed(resolved)
+    assert resolved.where("project is not null").count() == 3000
+
+
 def test_a_dominant_email_is_split_over_tasks(spark, conf):
     conf(
         autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
