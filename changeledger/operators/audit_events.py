@@ -28,7 +28,9 @@ def parse_audit_lines(lines: DataFrame) -> DataFrame:
     `who`, `access_path` are optional; HTTP events also need a method and carry the HTTP status
     as their result. SSH events have a null `http_method`.
     """
-    parsed = inline_json(lines, "value", AUDIT_LINE, options={"allowSingleQuotes": "false"})
+    # from_json would accept text after the object; such a line is not one JSON document.
+    whole = lines.where(F.rtrim(F.col("value"), F.lit(" \t\r")).endswith("}"))
+    parsed = inline_json(whole, "value", AUDIT_LINE, options={"allowSingleQuotes": "false"})
     audit_type = F.lit(None).cast("string")
     for record_type, name in AUDIT_TYPES.items():
         audit_type = F.when(F.col("type") == record_type, F.lit(name)).otherwise(audit_type)

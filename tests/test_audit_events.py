@@ -94,12 +94,18 @@ def test_failed_login_has_neither_user_nor_access_path(spark):
         line(elapsed="soon"),
         line(time_at_start="yesterday"),
         line()[:-5],
+        line() + " and more",
+        line().replace('"', "'"),
     ],
 )
 def test_incomplete_lines_are_dropped(spark, bad):
     assert parse(spark, bad, line()).count() == 1
 
 
+def test_white_space_around_a_line_does_not_matter(spark):
+    assert parse(spark, "  " + line() + " \t").count() == 1
+
+
 def test_bad_user_id_keeps_the_event(spark):
     event = parse(spark, line(who={"account_id": {"id": "x"}, "access_path": "REST_API"})).collect()[0]
     assert (event.who, event.access_path) == (None, "REST_API")
