@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeledger.session import configure
 
-from . import bpe
-from .batches import id_and_text, small_batches
+from . import bpe, decontamination, language_id, line_dedup
+from .batches import fold_is, id_and_text, small_batches
+from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,8 +35,68 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_and_text(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    kept = line_dedup.drop_boilerplate(pages)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = id_and_text(_table(spark, sf_dir, "documents"))
-    encoded = bpe.with_token_ids(documents, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
+    encoded = bpe.with_token_ids(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
     return bpe.digest(bpe.with_decoded_bytes(encoded, BYTE_RANKS))
+
+
+def learn_languages(documents: DataFrame) -> language_id.LanguageModel:
+    """From the documents outside the held-out fold."""
+    learned = documents.filter(F.col("doc_id").isNotNull() & ~fold_is(F.col("doc_id"), 4, 2))
+    labelled = id_and_text(learned).withColumn("lang", F.lit(None)) if "lang" not in documents.columns else learned.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), "lang")
+    return language_id.fit(labelled, BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = learn_languages(_table(spark, sf_dir, "documents"))
+    found = language_id.predict(_documents(spark, sf_dir), model, BYTE_RANKS)
+    return found.select("doc_id", fold_is(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+ORACLE_SQL["op4_line_dedup"] = f"""
+WITH lines AS (
+    SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line
+    FROM documents, range(1, len(string_split(coalesce(text, ''), chr(10))) + 1) AS r(i)
+    WHERE text IS NOT NULL
+), totals AS (
+    SELECT source, count(*) AS pages FROM documents GROUP BY source
+), boilerplate AS (
+    SELECT l.source, trim(line, ' ') AS line
+    FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
+    WHERE trim(line, ' ') <> ''
+    GROUP BY l.source, trim(line, ' '), pages
+    HAVING count(DISTINCT doc_id) > {line_dedup.MAX_RATIO} * pages AND count(DISTINCT doc_id) >= {line_dedup.MIN_PAGES}
+), marked AS (
+    SELECT l.doc_id, l.i, l.line, b.line IS NOT NULL AS gone
+    FROM lines l LEFT JOIN boilerplate b ON l.source IS NOT DISTINCT FROM b.source AND trim(l.line, ' ') = b.line
+), kept AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+        coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+    FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
