@@ -28,7 +28,7 @@ from .batches import decoded, grouped, stored
 ITEMS_PER_PASS = 20_000
 SHINGLE_WORDS = 5
 K1, B = 1.2, 0.75
-_BLOCK = 16
+_BLOCK = 4
 _CELLS = 4 << 20
 
 _WORDS = re.compile(r"\w+")
@@ -143,7 +143,8 @@ class ItemIndex:
         """Items of a block that the passage holds: (number, score, question and answer overlap)."""
         have = set(words)
         for i in range(block * _BLOCK, min(len(self.items), (block + 1) * _BLOCK)):
-            score = sum(v for w, v in self.impacts[i].items() if w in have)
+            own = self.impacts[i]
+            score = sum(map(own.__getitem__, have & own.keys()))
             if score >= self.thresholds.score - 1e-9:
                 _, question, answer = self.items[i]
                 in_question, in_answer = contained(question, words), contained(answer, words)
