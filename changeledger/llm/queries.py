@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeledger.session import configure
 
-from . import bpe, decontamination, language_id, line_dedup
+from . import bpe, decontamination, language_id, line_dedup, ngram_join, suffix_dedup
 from .batches import fold_is, id_and_text, small_batches
 from .token_counts import token_counts
 
@@ -39,6 +39,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_and_text(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir)).drop("kept")
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
@@ -56,6 +61,15 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+#: Links of 3-word shingles at a Jaccard similarity of 0.9 or more.
+JOIN_SIMILARITY = ngram_join.Similarity(words=3, least=90, scale=100)
+
+
+@query
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(_documents(spark, sf_dir), JOIN_SIMILARITY)
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.with_token_ids(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
@@ -100,3 +114,33 @@ WITH lines AS (
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, sha256(coalesce(k.text, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+ORACLE_SQL["op6_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 2], ' ') END AS s
+    FROM words, range(1, greatest(len(w) - 1, 2)) AS r(i)
+    WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * n_both >= 90 * (x.n + y.n - n_both)
+), edges AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach(start, node) AS (
+    SELECT DISTINCT a, a FROM edges
+    UNION
+    SELECT start, b FROM reach JOIN edges ON node = a
+), least AS (
+    SELECT start, min(node) AS component_id FROM reach GROUP BY start
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.start = d.doc_id
+"""
