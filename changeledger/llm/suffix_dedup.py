@@ -222,7 +222,7 @@ def _known(answers: list[dict] | None, names: np.ndarray, parts: int) -> np.ndar
 def _merge(runs: DataFrame, parts: int) -> DataFrame:
     """Merge the sorted runs of each range and tell every chunk which of its names are repeated."""
 
-    def merge(key, table: pa.Table) -> pa.Table:
+    def merge(key, table):  # no annotations: Spark would read them
         names = [unpack(run) for run in table.column("names").to_pylist()]
         merged = np.concatenate(names)
         order = np.argsort(merged, kind="stable")
