@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from changeledger.session import configure
 
-from . import bpe, decontamination, language_id, line_dedup, ngram_join, suffix_dedup
-from .batches import fold_is, id_and_text, small_batches
+from . import bpe, decontamination, language_id, line_dedup, neighbours, ngram_join, quality, suffix_dedup, toxicity
+from .batches import fold_is, id_and_text, small_batches, stored
 from .token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,24 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def _learned_labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """(doc_id, label) outside the held-out fold."""
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").cast("bigint"), F.col(column).cast("int").alias("label"))
+    return labels.filter(~fold_is(F.col("doc_id"), 3, 1))
+
+
+def _scored(found: DataFrame, threshold: float) -> DataFrame:
+    held_out = fold_is(F.col("doc_id"), 3, 1).alias("held_out")
+    return found.select("doc_id", held_out, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    model = toxicity.fit(documents, _learned_labels(spark, sf_dir, "toxic"))
+    return _scored(toxicity.predict(documents, model), 0.7)
+
+
 #: Links of 3-word shingles at a Jaccard similarity of 0.9 or more.
 JOIN_SIMILARITY = ngram_join.Similarity(words=3, least=90, scale=100)
 
@@ -90,6 +108,19 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fold_is(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = stored(quality.measure(_documents(spark, sf_dir)), "quality-statistics")
+    model = quality.fit(measured, _learned_labels(spark, sf_dir, "quality"))
+    return _scored(quality.predict(measured, model), 0.5)
+
+
+@query
+def op10_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
 ORACLE_SQL["op4_line_dedup"] = f"""
 WITH lines AS (
     SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line
