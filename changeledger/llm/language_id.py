@@ -126,6 +126,22 @@ class Scorer:
         values[at] += before * self.probabilities[numbers]
 
 
+def classify(texts: list[str | None], model: LanguageModel, scorer: Scorer) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text; words are scored once, however many texts have them."""
+    number: dict[str, int] = {}
+    ids = [np.array([number.setdefault(w, len(number)) for w in words_of(text)], np.int64) for text in texts]
+    langs, scores = [UNKNOWN] * len(ids), np.zeros(len(ids))
+    if model.languages and number:
+        table = scorer.log_probabilities(list(number))
+        for i, own in enumerate(ids):
+            if len(own):
+                total = table[own].sum(axis=0)
+                best = int(total.argmax())
+                langs[i] = model.languages[best]
+                scores[i] = 1 / np.exp(total - total[best]).sum()
+    return langs, scores
+
+
 def predict(documents: DataFrame, model: LanguageModel, ranks_path: str) -> DataFrame:
     """Per row of (doc_id, text): lang_pred and score.
 
@@ -138,17 +154,21 @@ def predict(documents: DataFrame, model: LanguageModel, ranks_path: str) -> Data
     def score(batches: Iterable[pa.RecordBatch]):
         scorer = Scorer(model, load_ranks(ranks_path))
         for batch in grouped(batches, 16 << 20):
-            number: dict[str, int] = {}
-            ids = [np.array([number.setdefault(w, len(number)) for w in words_of(text)], np.int64) for text in decoded(batch.column("text"))]
-            langs, scores = [UNKNOWN] * len(ids), np.zeros(len(ids))
-            if model.languages and number:
-                table = scorer.log_probabilities(list(number))
-                for i, own in enumerate(ids):
-                    if len(own):
-                        total = table[own].sum(axis=0)
-                        best = int(total.argmax())
-                        langs[i] = model.languages[best]
-                        scores[i] = 1 / np.exp(total - total[best]).sum()
+            langs, scores = classify(decoded(batch.column("text")), model, scorer)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)], names=["doc_id", "lang_pred", "score"])
 
     return documents.select("doc_id", "text").mapInArrow(score, schema)
+
+
+def keep_clear(documents: DataFrame, model: LanguageModel, ranks_path: str, least_score: float, text_column: str = "text") -> DataFrame:
+    """The rows whose language is known with at least this score, with all their columns."""
+    columns = documents.columns
+    marked = documents.withColumn("_bytes", F.col(text_column).cast("string").cast("binary"))
+
+    def clear(batches: Iterable[pa.RecordBatch]):
+        scorer = Scorer(model, load_ranks(ranks_path))
+        for batch in grouped(batches, 16 << 20):
+            langs, scores = classify(decoded(batch.column("_bytes")), model, scorer)
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in zip(langs, scores.tolist(), strict=True)]))
+
+    return marked.mapInArrow(clear, marked.schema).select(*columns)

@@ -219,3 +219,16 @@ def similar_components(documents: DataFrame, similarity: Similarity = Similarity
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = named.join(least, "root").select("set_key", "component_id")
     return sets.join(ids, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_first(documents: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
+    """One row of each component: that of the least doc_id, with all its columns.
+
+    Rows without words link with nothing and stay; so do rows whose doc_id is null. Repeated rows
+    are copies, of which one stays.
+    """
+    found = stored(similar_components(documents.select("doc_id", F.col("text").cast("string").cast("binary").alias("text")), similarity), "ngram-components")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = documents.join(broadcast_if_small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).collect() else kept
