@@ -33,8 +33,8 @@ class Settings:
     see the test against brute force. `shard_rows` vectors and `block_rows` queries meet in a task.
     """
 
-    trees: int = 12
-    share: float = 0.5
+    trees: int = 48
+    share: float = 0.55
     least: int = 200
     shard_rows: int = 8192
     block_rows: int = 4096

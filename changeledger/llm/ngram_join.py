@@ -1,10 +1,15 @@
 """All links of documents whose sets of word n-grams have a high Jaccard similarity.
 
-The order of all n-grams is that of their 64-bit hashes. It is cut into fragments, and what a set
-has in one fragment is a segment. Similar sets differ in few n-grams; with more fragments than that
-number, one segment at least is the same in both, so sets that share a whole segment are the
-candidates. The overlap of a candidate pair is counted in each fragment by itself, and the counts
-are summed per pair.
+All n-grams have one global order, which is cut into fragments; what a set has in one fragment is a
+segment. The overlap of a candidate pair is counted in each fragment by itself, and the counts are
+summed per pair. Candidates are found without loss in one of two ways:
+
+* High thresholds: sets that link differ in few n-grams. With more fragments than that number some
+  segments are equal in both, so sets that share a whole segment are the candidates.
+* Lower thresholds, where such segments would hold hardly an n-gram: linked sets share one of the
+  first n-grams of the global order. The order has rare n-grams first, so that texts that only share
+  a passage do not become candidates. Which n-grams are common is learned from a sample; any order
+  gives the same links.
 """
 
 from __future__ import annotations
@@ -29,6 +34,13 @@ from .components import components
 _CLASS_RATIO = 1.5
 #: Fragments in which the overlap of a pair is counted.
 COUNT_FRAGMENTS = 16
+#: Expected number of distinct texts in the sample; an n-gram that so many of them have is common.
+SAMPLE_TEXTS = 16_000
+COMMON_TEXTS = 3
+#: Bound of the common n-grams; the most frequent are taken.
+MAX_COMMON = 200_000
+#: Segments are used if sets of this many n-grams still link when one of them differs.
+_SEGMENT_GRAMS = 8
 
 
 @dataclass(frozen=True)
@@ -43,6 +55,14 @@ class Similarity:
         """In how many n-grams two linked sets can differ, given the size of the smaller one."""
         return smaller * (self.scale - self.least) // self.least
 
+    @property
+    def by_segments(self) -> bool:
+        return self.least >= _SEGMENT_GRAMS * (self.scale - self.least)
+
+    def prefix(self, size: int) -> int:
+        """How many of the first n-grams of two linked sets include a common one."""
+        return size - -(-size * self.least // self.scale) + 1
+
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """A fixed permutation of 64-bit numbers that spreads them evenly."""
@@ -80,74 +100,127 @@ class Shingler:
         return np.unique(grams)
 
 
-class Cutter:
-    """Signatures of a set's segments: equal ones stand for equal segments of sets cut alike."""
+@dataclass(frozen=True)
+class Common:
+    """N-grams in ascending order and in how many sampled texts they are."""
+
+    grams: np.ndarray
+    texts: np.ndarray
+
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        """The number for each n-gram; 0 for those that are not common."""
+        if not len(self.grams):
+            return np.zeros(len(grams), np.int64)
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[at] == grams, self.texts[at], 0)
+
 
-    def __init__(self, similarity: Similarity) -> None:
-        self.similarity = similarity
+class Marker:
+    """Marks of sets: linked sets that are not equal share one at least."""
+
+    def __init__(self, similarity: Similarity, common: Common) -> None:
+        self.similarity, self.common = similarity, common
         self._starts = [1]
         while self._starts[-1] < 1 << 40:
             self._starts.append(max(self._starts[-1] + 1, int(self._starts[-1] * _CLASS_RATIO)))
 
-    def signatures(self, grams: np.ndarray) -> np.ndarray:
-        """For the set's own size class, and for the next if a linked set can be that large."""
+    def marks(self, grams: np.ndarray) -> np.ndarray:
+        if not self.similarity.by_segments:
+            order = np.lexsort((grams, self.common.counts(grams)))
+            return grams[order[: self.similarity.prefix(len(grams))]]
+        # Those of the set's own size class, and of the next if a linked set can be that large.
         own = int(np.searchsorted(self._starts, len(grams), side="right")) - 1
-        out = [self._cut(grams, own)]
-        if len(grams) * self.similarity.scale >= self._starts[own + 1] * self.similarity.least:
-            out.append(self._cut(grams, own + 1))
-        return np.concatenate(out)
+        reaches = len(grams) * self.similarity.scale >= self._starts[own + 1] * self.similarity.least
+        return np.concatenate([self._of_class(grams, size_class) for size_class in (own, own + 1)[: 1 + reaches]])
+
+    def _of_class(self, grams: np.ndarray, size_class: int) -> np.ndarray:
+        """With two fragments more than n-grams in which linked sets differ, two segments are equal.
 
-    def _cut(self, grams: np.ndarray, size_class: int) -> np.ndarray:
+        They may be empty in both sets only if both have two empty ones; only then are those marks.
+        """
         differing = self.similarity.most_different(self._starts[size_class + 1] - 1)
         if not differing:
             return np.zeros(0, np.uint64)  # linked sets of this size are equal
-        # With one fragment to spare, two segments at least are equal in linked sets.
-        fragments = differing + 2
+        sizes, marks = self._cut(grams, differing + 2, size_class)
+        return marks if (sizes == 0).sum() >= 2 else marks[sizes > 0]
+
+    @staticmethod
+    def _cut(grams: np.ndarray, fragments: int, size_class: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and marks of the segments."""
         fragment = (grams >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
-        numbers = np.arange(fragments, dtype=np.uint64)
         ends = np.searchsorted(fragment, np.arange(fragments + 1))
         sizes = np.diff(ends)
         with np.errstate(over="ignore"):
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(grams + np.uint64(1)), dtype=np.uint64)])
             content = sums[ends[1:]] - sums[ends[:-1]]
-            marks = mixed(mixed(content + sizes.astype(np.uint64)) + numbers * np.uint64(1024) + np.uint64(size_class))
-        # Equal segments may be empty ones only if two of them are; only then are those signatures.
-        return marks if (sizes == 0).sum() >= fragments - differing else marks[sizes > 0]
+            return sizes, mixed(mixed(content + sizes.astype(np.uint64)) + np.arange(fragments, dtype=np.uint64) * np.uint64(1024) + np.uint64(size_class))
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-_DESCRIBED = StructType([StructField("doc_id", LongType()), StructField("n_shingles", LongType(), False), StructField("set_key", LongType()), StructField("signatures", ArrayType(LongType(), False), False)])
+def common_grams(documents: DataFrame, similarity: Similarity) -> Common:
+    """N-grams that several distinct texts of a sample have; at most MAX_COMMON."""
+    if similarity.by_segments:
+        return Common(np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    total = documents.count()
+    share = int((1 << 30) * min(1.0, SAMPLE_TEXTS / max(1, total)))
+    sample = documents.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share).dropDuplicates(["text"])
 
+    def list_grams(batches: Iterable[pa.RecordBatch]):
+        shingler = Shingler(similarity.words)
+        for batch in grouped(batches):
+            grams = [shingler.grams(text) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(grams)))], names=["gram"])
 
-def describe(documents: DataFrame, similarity: Similarity) -> DataFrame:
-    """Per row of (doc_id, binary text): size of its set, a key of the set, signatures.
+    counted = sample.mapInArrow(list_grams, StructType([StructField("gram", LongType())])).groupBy("gram").agg(F.count("*").alias("n"))
+    rows = counted.filter(F.col("n") >= COMMON_TEXTS).orderBy(F.desc("n"), "gram").limit(MAX_COMMON).collect()
+    grams = np.array([row["gram"] for row in rows], np.int64).view(np.uint64)
+    order = np.argsort(grams)
+    return Common(grams[order], np.array([row["n"] for row in rows], np.int64)[order])
+
+
+def _set_key(grams: np.ndarray) -> int | None:
+    """A key of a set; null for an empty one."""
+    if not len(grams):
+        return None
+    return int(_signed(mixed(np.add.reduce(mixed(grams ^ np.uint64(0x5851F42D4C957F2D)), keepdims=True)))[0])
 
-    The key is null for an empty set. Of rows with one set in one task only the first has the
-    signatures.
-    """
+
+def describe(documents: DataFrame, similarity: Similarity) -> DataFrame:
+    """(doc_id, n_shingles, set_key) of every row of (doc_id, binary text)."""
+    schema = StructType([StructField("doc_id", LongType()), StructField("n_shingles", LongType(), False), StructField("set_key", LongType())])
 
     def describe_batches(batches: Iterable[pa.RecordBatch]):
-        shingler, cutter = Shingler(similarity.words), Cutter(similarity)
+        shingler = Shingler(similarity.words)
+        for batch in grouped(batches):
+            sets = [shingler.grams(text) for text in batch.column("text").to_pylist()]
+            columns = [batch.column("doc_id"), pa.array([len(own) for own in sets], pa.int64()), pa.array([_set_key(own) for own in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return documents.select("doc_id", "text").mapInArrow(describe_batches, schema)
+
+
+def set_marks(documents: DataFrame, similarity: Similarity, common: Common) -> DataFrame:
+    """(mark, set_key) of every set; a task gives those of equal sets once."""
+    schema = StructType([StructField("mark", LongType()), StructField("set_key", LongType())])
+
+    def mark_batches(batches: Iterable[pa.RecordBatch]):
+        shingler, marker = Shingler(similarity.words), Marker(similarity, common)
         seen: set[int] = set()
         for batch in grouped(batches):
-            sizes, keys, marks = [], [], []
+            marks, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for text in batch.column("text").to_pylist():
                 grams = shingler.grams(text)
-                sizes.append(len(grams))
-                key = int(_signed(mixed(np.array([np.add.reduce(mixed(grams ^ np.uint64(0x5851F42D4C957F2D)))], np.uint64)))[0]) if len(grams) else None
-                keys.append(key)
-                new = key is not None and key not in seen
-                marks.append(_signed(cutter.signatures(grams)) if new else np.zeros(0, np.int64))
-                if new:
+                key = _set_key(grams)
+                if key is not None and key not in seen:
                     seen.add(key)
-            offsets = pa.array(np.cumsum([0, *map(len, marks)]), pa.int32())
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(marks)))]
-            yield pa.RecordBatch.from_arrays(columns, names=_DESCRIBED.names)
+                    marks.append(marker.marks(grams))
+                    keys.append(np.full(len(marks[-1]), key))
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(marks))), pa.array(np.concatenate(keys), pa.int64())], names=schema.names)
 
-    return documents.select("doc_id", "text").mapInArrow(describe_batches, _DESCRIBED)
+    return documents.select("text").mapInArrow(mark_batches, schema)
 
 
 def _segments(documents: DataFrame, wanted: DataFrame, similarity: Similarity) -> DataFrame:
@@ -193,11 +266,10 @@ def similar_components(documents: DataFrame, similarity: Similarity = Similarity
     compared with one of them; only sets that are in different components after that are compared
     with each other. A null doc_id takes part; its component_id is the smallest that is not null.
     """
-    described = stored(describe(documents, similarity), "ngram-sets")
-    sets = described.select("doc_id", "n_shingles", "set_key")
+    sets = stored(describe(documents, similarity), "ngram-sets")
     classes = sets.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
 
-    marks = described.filter(F.size("signatures") > 0).select("set_key", F.explode("signatures").alias("mark"))
+    marks = set_marks(documents, similarity, common_grams(documents, similarity))
     grouped_marks = marks.withColumn("head", F.min("set_key").over(Window.partitionBy("mark"))).withColumn("last", F.max("set_key").over(Window.partitionBy("mark")))
     shared = stored(grouped_marks.filter("head < last").select("mark", "set_key", "head"), "ngram-marks")
 
