@@ -44,9 +44,14 @@ def decoded(column: pa.Array) -> list[str | None]:
     return [None if value is None else value.decode("utf-8", "replace") for value in column.to_pylist()]
 
 
+def as_bytes(column: str) -> Column:
+    """A text column in UTF-8."""
+    return F.col(column).cast("string").cast("binary")
+
+
 def id_and_text(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The two columns that matter, as `doc_id` and binary `text`; other columns, however named, go."""
-    return documents.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).cast("string").cast("binary").alias("text"))
+    return documents.select(F.col(id_column).cast("bigint").alias("doc_id"), as_bytes(text_column).alias("text"))
 
 
 def fold_is(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -60,3 +65,8 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def with_row(frame: DataFrame, **columns: Column) -> DataFrame:
+    """All columns as one struct `row` beside new ones, so that no name can clash; undone by `row.*`."""
+    return frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias("row"), *[column.alias(name) for name, column in columns.items()])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .batches import decoded, grouped
+from .batches import as_bytes, decoded, grouped, with_row
 
 #: Longer texts are encoded in parts of about this many characters.
 PART_CHARS = 1 << 16
@@ -90,30 +90,29 @@ def with_token_ids(documents: DataFrame, ranks_path: str, pattern: str, text_col
     Null and empty texts have no tokens. A column already named `output` is replaced. `ranks_path`
     is a file on every worker.
     """
-    kept = [c for c in documents.columns if c != output]
-    source = documents.select(*kept, F.col(text_column).cast("string").cast("binary").alias("_bytes"))
-    schema = StructType([*documents.select(*kept).schema.fields, StructField(output, ArrayType(IntegerType(), False), False)])
+    source = with_row(documents, text=as_bytes(text_column))
+    schema = StructType([source.schema["row"], StructField("ids", ArrayType(IntegerType(), False), False)])
 
     def encode(batches):
         encoder = Encoder(ranks_path, pattern)
         for batch in grouped(batches):
             ends, parts = [0], []
-            for text in decoded(batch.column("_bytes")):
+            for text in decoded(batch.column("text")):
                 ids = encoder.ids(text)
                 parts += ids
                 ends.append(ends[-1] + sum(map(len, ids)))
             values = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
-            columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*columns, tokens], names=[*kept, output])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), tokens], names=["row", "ids"])
 
-    return source.mapInArrow(encode, schema)
+    kept = [F.col(f"row.`{c}`") for c in documents.columns if c != output]
+    return source.mapInArrow(encode, schema).select(*kept, F.col("ids").alias(output))
 
 
 def with_decoded_bytes(encoded: DataFrame, ranks_path: str, ids_column: str = "token_ids", output: str = "decoded") -> DataFrame:
     """Add the bytes that token ids stand for. Null ids give no bytes; an id without a token is an error."""
-    kept = [c for c in encoded.columns if c != output]
-    schema = StructType([*encoded.select(*kept).schema.fields, StructField(output, BinaryType(), False)])
+    source = with_row(encoded, ids=F.col(ids_column))
+    schema = StructType([source.schema["row"], StructField("bytes", BinaryType(), False)])
 
     def decode(batches):
         ranks = load_ranks(ranks_path)
@@ -122,12 +121,11 @@ def with_decoded_bytes(encoded: DataFrame, ranks_path: str, ids_column: str = "t
             table[rank] = token
         token_of = table.__getitem__
         for batch in batches:
-            ids = batch.column(ids_column)
-            texts = [b"".join(map(token_of, row)) if row else b"" for row in ids.to_pylist()]
-            columns = [batch.column(name) for name in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], names=[*kept, output])
+            texts = [b"".join(map(token_of, row)) if row else b"" for row in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.binary())], names=["row", "bytes"])
 
-    return encoded.mapInArrow(decode, schema)
+    kept = [F.col(f"row.`{c}`") for c in encoded.columns if c != output]
+    return source.mapInArrow(decode, schema).select(*kept, F.col("bytes").alias(output))
 
 
 def digest(encoded: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .batches import decoded, grouped, stored
+from .batches import as_bytes, decoded, grouped, stored, with_row
 
 #: Items whose index is held by a task at a time; more items are searched in as many passes.
 ITEMS_PER_PASS = 20_000
@@ -192,7 +192,7 @@ def _indexes(items: DataFrame, thresholds: Thresholds, per_pass: int) -> Iterato
             columns = [batch.column("item_id"), pa.array([q for q, _ in both], pa.list_(pa.string())), pa.array([a for _, a in both], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, names=["item_id", "question", "answer"])
 
-    named = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").cast("binary").alias("text"))
+    named = items.select(F.col("item_id").cast("bigint").alias("item_id"), as_bytes("text").alias("text"))
     parts = stored(named.mapInArrow(split, schema).filter(F.size("question") > 0), "benchmark-items")
     total, words = parts.agg(F.count("*"), F.sum(F.size("question") + F.size("answer"))).first()
     if not total:
@@ -235,15 +235,14 @@ def contaminated(documents: DataFrame, items: DataFrame, thresholds: Thresholds
 
 def without_contaminated(documents: DataFrame, items: DataFrame, text_column: str = "text", thresholds: Thresholds = Thresholds(), per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """The rows whose text holds no item, with all their columns; nothing is shuffled."""
-    columns = documents.columns
-    kept = documents.withColumn("_bytes", F.col(text_column).cast("string").cast("binary"))
-    schema = StructType([*documents.schema.fields, StructField("_bytes", kept.schema["_bytes"].dataType)])
+    kept = with_row(documents, text=as_bytes(text_column))
+    schema = kept.schema
     for index in _indexes(items, thresholds, per_pass):
 
         def clean(batches: Iterable[pa.RecordBatch], index: ItemIndex = index):
             for batch in grouped(batches):
-                found = index.search(decoded(batch.column("_bytes")))
+                found = index.search(decoded(batch.column("text")))
                 yield batch.filter(pa.array([not own for own in found]))
 
         kept = kept.mapInArrow(clean, schema)
-    return kept.select(*columns)
+    return kept.select("row.*")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from .batches import decoded, grouped
+from .batches import as_bytes, decoded, grouped, with_row
 from .bpe import load_encoding, load_ranks
 from .pieces import TRIE_BYTES, Pieces, over_trie
 
@@ -162,13 +162,12 @@ def predict(documents: DataFrame, model: LanguageModel, ranks_path: str) -> Data
 
 def keep_clear(documents: DataFrame, model: LanguageModel, ranks_path: str, least_score: float, text_column: str = "text") -> DataFrame:
     """The rows whose language is known with at least this score, with all their columns."""
-    columns = documents.columns
-    marked = documents.withColumn("_bytes", F.col(text_column).cast("string").cast("binary"))
+    marked = with_row(documents, text=as_bytes(text_column))
 
     def clear(batches: Iterable[pa.RecordBatch]):
         scorer = Scorer(model, load_ranks(ranks_path))
         for batch in grouped(batches, 16 << 20):
-            langs, scores = classify(decoded(batch.column("_bytes")), model, scorer)
+            langs, scores = classify(decoded(batch.column("text")), model, scorer)
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in zip(langs, scores.tolist(), strict=True)]))
 
-    return marked.mapInArrow(clear, marked.schema).select(*columns)
+    return marked.mapInArrow(clear, marked.schema).select("row.*")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from changeledger.operators.broadcasting import broadcast_if_small
 
+from .batches import with_row
+
 #: A line on more than this share of a site's pages is boilerplate.
 MAX_RATIO = 0.05
 #: A line on fewer pages is none, however small the site.
@@ -50,16 +52,11 @@ def drop_boilerplate(pages: DataFrame, site_column: str = "source", text_column:
     their own. Columns already named `n_lines` or `n_dropped` are replaced.
     """
     site_keys = broadcast_if_small(boilerplate_lines(pages, site_column, text_column, max_ratio, min_pages))
-    plain = pages.drop("n_lines", "n_dropped")
-    joined = plain.join(site_keys, plain[site_column].eqNullSafe(F.col("_site")), "left")
-    lines = F.split(F.col(text_column), "\n")
-    kept = F.when(F.col("_keys").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("_keys"), _line_key(line)) | (F.trim(line) == "")))
-    arrays = joined.withColumns({"_lines": lines, "_kept": kept})
-    count = F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint")
-    left = F.coalesce(F.size("_kept"), F.lit(0)).cast("bigint")
-    has_text = F.col(text_column).isNotNull()
-    return arrays.select(
-        *[F.array_join("_kept", "\n").alias(c) if c == text_column else F.col(c) for c in plain.columns],
-        F.when(has_text, count).otherwise(0).alias("n_lines"),
-        F.when(has_text, count - left).otherwise(0).alias("n_dropped"),
-    )
+    lines = F.split("text", "\n")
+    joined = with_row(pages, site=F.col(site_column), text=F.col(text_column)).join(site_keys, F.col("site").eqNullSafe(F.col("_site")), "left")
+    kept = F.when(F.col("_keys").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains("_keys", _line_key(line)) | (F.trim(line) == "")))
+    arrays = joined.select("row", "text", lines.alias("lines"), kept.alias("kept"))
+    count = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("bigint")
+    left = F.when(F.col("text").isNull(), 0).otherwise(F.size("kept")).cast("bigint")
+    columns = [F.array_join("kept", "\n").alias(c) if c == text_column else F.col(f"row.`{c}`") for c in pages.columns if c not in ("n_lines", "n_dropped")]
+    return arrays.select(*columns, count.alias("n_lines"), (count - left).alias("n_dropped"))

@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from changeledger.operators.broadcasting import broadcast_if_small
 
-from .batches import grouped, stored
+from .batches import grouped, id_and_text, stored, with_row
 from .components import components
 
 #: Sets whose sizes are in one class are cut alike; a class ends at this times its start.
@@ -299,8 +299,8 @@ def keep_first(documents: DataFrame, similarity: Similarity = Similarity()) -> D
     Rows without words link with nothing and stay; so do rows whose doc_id is null. Repeated rows
     are copies, of which one stays.
     """
-    found = stored(similar_components(documents.select("doc_id", F.col("text").cast("string").cast("binary").alias("text")), similarity), "ngram-components")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = documents.join(broadcast_if_small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    found = stored(similar_components(id_and_text(documents), similarity), "ngram-components")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = with_row(documents, doc_id=F.col("doc_id"), text=F.col("text")).join(broadcast_if_small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
     repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).collect() else kept
+    return (kept.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).collect() else kept).select("row.*")
