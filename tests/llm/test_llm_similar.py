@@ -1,0 +1,234 @@
+"""Repeated strings, near copies, components and neighbours against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from changeledger.llm import neighbours, ngram_join, suffix_dedup
+from changeledger.llm.batches import id_and_text, small_batches
+from changeledger.llm.components import components
+
+SCHEMA = "doc_id long, text string, chunk string, set_key string"
+
+
+def documents(spark, rows):
+    small_batches(spark)
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+
+
+def plain_repeats(rows, window):
+    texts = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(b[k : k + window] for _, b in texts for k in range(len(b) - window + 1))
+    out = []
+    for i, b in texts:
+        gone = bytearray(len(b))
+        for k in range(len(b) - window + 1):
+            if seen[b[k : k + window]] > 1:
+                gone[k : k + window] = b"\1" * window
+        spans = sum(1 for k in range(len(gone)) if gone[k] and (not k or not gone[k - 1]))
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest(), kept))
+    return sorted(out, key=repr)
+
+
+def mixed_texts(seed, alphabet, count=60):
+    random_ = random.Random(seed)
+    make = lambda n: "".join(random_.choice(alphabet) for _ in range(n))
+    passages = [make(n) for n in (30, 49, 50, 51, 52, 80, 150)]
+    rows = [(i, make(random_.randrange(0, 300)) + random_.choice(passages)[random_.randrange(3) :] + make(random_.randrange(0, 200))) for i in range(count)]
+    rows += [(1000, None), (1001, ""), (1002, "é" * 90), (1003, "ab" * 4_000), rows[0], rows[1], (None, rows[2][1])]
+    return rows
+
+
+@pytest.mark.parametrize("window, alphabet", [(50, "abcdé \n"), (50, "ab"), (7, "abcdefghij"), (1, "abc")])
+def test_repeats_equal_brute_force(spark, window, alphabet):
+    rows = mixed_texts(window, alphabet)
+    got = suffix_dedup.remove_repeats(id_and_text(documents(spark, rows)), window).collect()
+    assert sorted(((*r[:5], bytes(r[5])) for r in got), key=repr) == plain_repeats(rows, window)
+
+
+def test_repeats_across_many_chunks_and_ranges(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 1_000)
+    monkeypatch.setattr(suffix_dedup, "NAMES_PER_RANGE", 50)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", 0)
+    rows = mixed_texts(9, "abcdefgh", 120)
+    frame = id_and_text(documents(spark, rows)).repartition(5)
+    got = suffix_dedup.remove_repeats(frame, 50).collect()
+    assert sorted(((*r[:5], bytes(r[5])) for r in got), key=repr) == plain_repeats(rows, 50)
+
+
+def test_no_texts(spark):
+    none = id_and_text(documents(spark, []))
+    assert suffix_dedup.remove_repeats(none).count() == 0
+    assert ngram_join.similar_components(none).count() == 0
+    assert ngram_join.keep_first(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("largest", [1, 6, 7, 13, 37, 150, 190])
+def test_difference_covers(largest):
+    period, cover = suffix_dedup.difference_cover(largest)
+    assert period <= max(1, largest)
+    assert {(i - j) % period for i in cover.tolist() for j in cover.tolist()} == set(range(period))
+
+
+def test_packed_names_come_back():
+    names = np.unique(np.random.RandomState(1).randint(0, 1 << 62, 5_000).astype(np.uint64) << np.uint64(1))
+    assert (suffix_dedup.unpack(suffix_dedup.pack(names)) == names).all()
+
+
+def plain_grams(text, words):
+    own = [w for w in (text or "").encode().lower().split()]
+    if not own:
+        return frozenset()
+    return frozenset(tuple(own[i : i + words]) for i in range(max(1, len(own) - words + 1)))
+
+
+def roots(nodes, links):
+    up = {n: n for n in nodes}
+
+    def find(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def plain_components(rows, similarity):
+    sets = {i: plain_grams(t, similarity.words) for i, t in rows}
+    ids = sorted(sets)
+    links = []
+    for i in ids:
+        for j in ids:
+            if i < j and sets[i] and sets[j]:
+                both = len(sets[i] & sets[j])
+                if similarity.scale * both >= similarity.least * (len(sets[i]) + len(sets[j]) - both):
+                    links.append((i, j))
+    root = roots(ids, links)
+    return sorted((i, len(sets[i]), root[i]) for i in ids)
+
+
+def near_copies(seed):
+    """Groups of copies with some words changed, texts that share a passage, short texts."""
+    random_ = random.Random(seed)
+    words = [f"w{i}" for i in range(500)]
+    make = lambda n: [random_.choice(words) for _ in range(n)]
+    passage = make(60)
+    rows = []
+    for size in (4, 9, 12, 25, 60, 200):
+        base = make(size)
+        for changes in [0, 0, *range(12)]:
+            own = list(base)
+            for _ in range(changes):
+                own = own or ["last"]
+                at = random_.randrange(len(own))
+                own[at : at + 1] = random_.choice([[], ["new"], [own[at], "x"]])
+            rows.append(" ".join(own))
+    rows += [" ".join(make(random_.randrange(5, 60)) + passage + make(random_.randrange(5, 90))) for _ in range(40)]
+    rows += [None, "", " \t\n", "one", "ONE", "one two", "one  TWO\x0b", "É é", "é É", "a\xa0b c", "word " * 3_000]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("similarity", [ngram_join.Similarity(3, 90), ngram_join.Similarity(5, 80), ngram_join.Similarity(1, 50), ngram_join.Similarity(2, 95)])
+def test_join_equals_all_pairs(spark, similarity):
+    rows = near_copies(similarity.least)
+    got = ngram_join.similar_components(id_and_text(documents(spark, rows)), similarity).collect()
+    assert sorted(tuple(r) for r in got) == plain_components(rows, similarity)
+
+
+def test_join_with_a_sampled_order(spark, monkeypatch):
+    """What is taken for common changes the candidates, never the links."""
+    monkeypatch.setattr(ngram_join, "SAMPLE_TEXTS", 40)
+    monkeypatch.setattr(ngram_join, "MAX_COMMON", 30)
+    rows = near_copies(3)
+    similarity = ngram_join.Similarity(5, 80)
+    got = ngram_join.similar_components(id_and_text(documents(spark, rows)), similarity).collect()
+    assert sorted(tuple(r) for r in got) == plain_components(rows, similarity)
+
+
+def test_first_of_similar_stays(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, base), (3, base + " more"), (9, "other words here now fine"), (9, "other words here now fine"), (None, base), (7, None), (8, "")]
+    kept = ngram_join.keep_first(documents(spark, rows))
+    assert kept.columns == ["doc_id", "text", "chunk", "set_key"]
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [3, 7, 8, 9]
+
+
+def test_every_linked_pair_shares_a_mark():
+    """Without loss for sets at the threshold, in both ways of marking."""
+    random_ = np.random.RandomState(2)
+    for similarity in (ngram_join.Similarity(3, 90), ngram_join.Similarity(5, 80)):
+        marker = ngram_join.Marker(similarity, ngram_join.Common(np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+        for size in (10, 11, 19, 20, 37, 100, 1_000, 4_000):
+            for _ in range(20):
+                grams = np.unique(random_.randint(0, 1 << 62, size).astype(np.uint64) << np.uint64(2))
+                off = similarity.most_different(len(grams))
+                fewer = np.sort(random_.permutation(grams)[: len(grams) - (len(grams) * (similarity.scale - similarity.least)) // similarity.scale])
+                swapped = np.unique(np.concatenate([random_.permutation(grams)[off // 2 :], random_.randint(0, 1 << 62, off // 2).astype(np.uint64)]))
+                for other in (fewer, swapped):
+                    both = len(np.intersect1d(grams, other))
+                    if both * similarity.scale >= similarity.least * (len(grams) + len(other) - both) and both < len(grams):
+                        assert np.intersect1d(marker.marks(grams), marker.marks(other)).size
+
+
+def test_components(spark):
+    random_ = random.Random(8)
+    edges = [(random_.randrange(300), random_.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5), (2000, 2001), (2000, 2001)]
+    edges += [(3000, 3000 + i) for i in range(1, 200)]
+    root = roots({n for e in edges for n in e}, edges)
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {n: r for n, r in root.items() if n != r} == {n: r for n, r in got.items() if n != r}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def brute_neighbours(rows, asked, count):
+    usable = {i: np.array(v, float) for i, v in rows if i is not None and v is not None and None not in v and np.isfinite(np.array(v, float)).all() and any(v)}
+    out = {}
+    for q in asked:
+        if q in usable:
+            scores = sorted((-sum(float(a) * float(b) for a, b in zip(usable[q], v, strict=True)), i) for i, v in usable.items() if i != q and len(v) == len(usable[q]))
+            out[q] = [(i, -s) for s, i in scores[:count]]
+    return out
+
+
+def test_neighbours_recall_and_scores(spark):
+    random_ = np.random.RandomState(3)
+    rows = [(int(i), v.tolist()) for i, v in enumerate(random_.normal(size=(1_200, 32)))]
+    hot = random_.normal(size=32)
+    rows += [(2_000 + i, hot.tolist()) for i in range(400)]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "vec_id long, embedding array<double>, score string")
+    settings = neighbours.Settings(shard_rows=500, block_rows=40)
+    found = defaultdict(list)
+    for r in sorted(neighbours.nearest(frame, frame.filter("vec_id % 20 = 0"), settings=settings).collect(), key=lambda r: (r.query_id, r["rank"])):
+        found[r.query_id].append((r.vec_id, r.score, r["rank"]))
+    want = brute_neighbours(rows, [i for i, _ in rows if i % 20 == 0], 20)
+    assert set(found) == set(want)
+    recall = np.mean([len({i for i, *_ in found[q]} & {i for i, _ in best}) / len(best) for q, best in want.items()])
+    assert recall >= 0.9
+    vectors = dict(rows)
+    for q, best in found.items():
+        assert [rank for *_, rank in best] == list(range(1, 21))
+        assert all(score == pytest.approx(float(np.dot(vectors[q], vectors[i])), abs=1e-12) for i, score, _ in best)
+        assert sorted(best, key=lambda x: (-x[1], x[0])) == best
+    # Copies of one vector: the smallest ids, whatever their number.
+    assert [i for i, *_ in found[2_000]] == list(range(2_001, 2_021))
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 1.0]), (7, [-2.0, 0.0]), (1, [1.0, 0.0]), (40, []), (8, [1.0, 2.0, 3.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in neighbours.nearest(frame, frame.filter(F.col("vec_id") % 20 == 0)).collect())
+    want = brute_neighbours([r for k, r in enumerate(rows) if k != 10], [0, 20, 40], 20)
+    want.pop(40, None)
+    assert got == sorted((q, k + 1, i, s) for q, best in want.items() for k, (i, s) in enumerate(best))
+    assert neighbours.nearest(frame.limit(0), frame.limit(0)).count() == 0
