@@ -16,17 +16,22 @@ BUCKET_UNITS = ["second", "minute", "hour", "day", "week", "month", "quarter", "
 BUCKET_UNIT_SYNONYMS = ["dd", "mon", "mm", "yy", "yyyy"]
 
 
+def _micros(units: Column, micros_each: int) -> Column:
+    """A timestamp, or null where a time is too large for one: an odd value must not end a job."""
+    return F.timestamp_micros(F.try_multiply(units.cast("bigint"), F.lit(micros_each).cast("bigint")))
+
+
 def epoch_ms_to_timestamp(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
+    return _micros(ms, 1_000)
 
 
 def epoch_seconds_to_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    return _micros(seconds, 1_000_000)
 
 
 def epoch_ms_to_second(ms: Column) -> Column:
     """Timestamp of the whole second, truncated toward zero."""
-    return F.timestamp_seconds(F.call_function("div", ms, F.lit(1000)))
+    return epoch_seconds_to_timestamp(F.call_function("div", ms, F.lit(1000)))
 
 
 def now() -> Column:
@@ -48,7 +53,7 @@ def epoch_ms_to_stamp(ms: Column, pattern: str) -> Column:
     """Compact UTC text in one of STAMP_FORMATS."""
     if pattern not in STAMP_FORMATS:
         raise ValueError(f"unknown format '{pattern}', expected one of {', '.join(STAMP_FORMATS)}")
-    return F.date_format(F.timestamp_millis(ms), pattern)
+    return F.date_format(epoch_ms_to_timestamp(ms), pattern)
 
 
 def text_to_epoch_ms(text: Column, pattern: str = DATE_TIME_NANOS_FORMAT) -> Column:

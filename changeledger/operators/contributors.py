@@ -15,12 +15,16 @@ _RENAMED = {"name": "author"}
 def flatten_contributors(lines: DataFrame, with_commits: bool = True) -> DataFrame:
     """(`project`, `json`) lines to one row per line with 19 flat columns.
 
-    A line that is not JSON keeps its project and has nulls elsewhere. `with_commits=False` leaves
-    the commit list out of the parse for plans that drop it anyway.
+    A line that is not JSON keeps its project and has nulls elsewhere. Where the lines have a `ref`,
+    it is the starting revision of those that state none. `with_commits=False` leaves the commit list
+    out of the parse for plans that drop it anyway.
     """
     fields = {k: v for k, v in CONTRIBUTOR_FIELDS.items() if with_commits or k != "commits"}
     schema = ", ".join(f"{name} {data_type}" for name, data_type in fields.items())
-    parsed = inline_json(lines, "json", schema, keep=["project"])
+    has_ref = "ref" in lines.columns
+    parsed = inline_json(lines, "json", schema, keep=["project", "ref"] if has_ref else ["project"])
+    if has_ref:
+        parsed = parsed.withColumn("starting_revision", F.coalesce("starting_revision", "ref"))
     return parsed.select("project", *[F.col(name).alias(_RENAMED.get(name, name)) for name in fields])
 
 

@@ -21,7 +21,7 @@ from ..operators.contributors import (
 )
 from ..operators.rollup import filter_commit_dates, roll_up_contributors
 from ..schemas import PROJECT
-from ..session import configure, scratch_dir
+from ..session import configure
 from ..sinks.documents import Target, write_all
 from ..sources.changes import read_commit_changes
 from ..sources.contributors import landing_location, read_contributor_lines, with_source
@@ -62,7 +62,7 @@ class CommitsJob:
 def contributor_stats(spark: SparkSession, projects: DataFrame, root: str | None, with_commits: bool = True) -> DataFrame:
     """Flat contributor rows of the projects landed under the root."""
     if root is None:
-        lines = spark.createDataFrame([], "project string, json string")
+        lines = spark.createDataFrame([], "project string, ref string, json string")
     else:
         lines = read_contributor_lines(spark, root, with_source(projects, landing_location(root)))
     return flatten_contributors(lines, with_commits)
@@ -116,6 +116,8 @@ def build_project_stats(spark: SparkSession, job: CommitsJob) -> DataFrame:
 
 
 def run_commits_job(spark: SparkSession, job: CommitsJob, count: bool = False) -> int | None:
-    """Write the documents, then the index if one is configured; optionally count the rows."""
-    documents = Target(job.output_dir or scratch_dir(spark, "documents"))
+    """Write the documents, then the index, as configured; optionally count the rows."""
+    documents = None if job.output_dir is None else Target(job.output_dir)
+    if documents is None and job.index is None:
+        raise ValueError("the commits job needs an output_dir or an index")
     return write_all(build_project_stats(spark, job), [documents, job.index], count)

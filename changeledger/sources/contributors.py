@@ -1,4 +1,9 @@
-"""Contributor lines landed per project under `<root>/project=<URL-encoded name>/`."""
+"""Contributor lines landed per project and ref under `<root>/project=<name>/ref=<ref>/`.
+
+In the directory, the characters of ESCAPED in names and refs are percent-encoded, others stand for
+themselves: that is what partition discovery decodes (it does not know encoded UTF-8). Without a ref, which means the project's default branch, the directory is
+`ref=__HIVE_DEFAULT_PARTITION__`, as Spark itself names the one of null.
+"""
 
 from __future__ import annotations
 
@@ -11,23 +16,36 @@ from ..functions.text import is_not_blank
 from ..operators.broadcasting import broadcast_if_small
 
 
+DEFAULT_REF = "__HIVE_DEFAULT_PARTITION__"
+# The percent sign comes first, so that it is not encoded twice.
+ESCAPED = "%\"#'*/:=?\\{}[]^ +"
+
+
+def partition_directory(value: Column) -> Column:
+    """A partition value as it is written in a directory's name."""
+    for character in ESCAPED:
+        value = F.replace(value, F.lit(character), F.lit(f"%{ord(character):02X}"))
+    return value
+
+
 def landing_location(root: str | None) -> Callable[[Column, Column, Column], Column]:
     """Where a project's lines are landed, as a function of its id, name and ref.
 
-    The ref is appended only when present. Without a root there is no location.
+    Without a root there is no location.
     """
 
     def location(project_id: Column, name: Column, ref_name: Column) -> Column:
-        ref = F.coalesce(F.concat(F.lit("?ref="), ref_name), F.lit(""))
-        return F.concat(F.lit(root).cast("string"), F.lit("/project="), project_id, ref)
+        ref = F.coalesce(partition_directory(F.nullif(ref_name, F.lit(""))), F.lit(DEFAULT_REF))
+        return F.concat(F.lit(root).cast("string"), F.lit("/project="), partition_directory(name), F.lit("/ref="), ref)
 
     return location
 
 
 def with_source(projects: DataFrame, location: Callable[[Column, Column, Column], Column]) -> DataFrame:
-    """(`project`, `source`) of each project; `source` may be null."""
+    """(`project`, `ref`, `source`) of each project; `source` may be null, a null `ref` is the default branch."""
     source = location(F.col("id"), F.col("name"), F.col("ref_name"))
-    return projects.select(F.col("name").alias("project"), source.alias("source"))
+    ref = F.nullif(F.col("ref_name"), F.lit(""))
+    return projects.select(F.col("name").alias("project"), ref.alias("ref"), source.alias("source"))
 
 
 def drop_blank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -35,19 +53,18 @@ def drop_blank_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_contributor_lines(spark: SparkSession, root: str, project_sources: DataFrame) -> DataFrame:
-    """(`project`, `json`) lines of the projects that have a source.
+    """(`project`, `ref`, `json`) lines of the projects that have a source, each from its own ref.
 
     The landing root is read and joined with the projects, rather than listing one path per
     project: a project that was never landed simply gives no rows, and the join on the partition
-    column lets Spark skip the directories of other projects (dynamic partition pruning, which
-    Spark only tries when the small side has an ordering comparison, hence the test for a name). The
-    explicit schema keeps numeric-looking project names as text.
+    columns lets Spark skip the directories of other projects (dynamic partition pruning, which
+    Spark only tries when the small side has an ordering comparison, hence the test for a name). The explicit schema keeps numeric-looking names as text.
     """
-    landed = spark.read.schema("value string, project string").text(root)
+    landed = spark.read.schema("value string, project string, ref string").text(root)
     named = F.col("source").isNotNull() & (F.col("project") > "")
-    wanted = broadcast_if_small(project_sources.where(named).select("project").distinct())
-    return (
-        drop_blank_lines(landed)
-        .join(wanted, "project")
-        .select("project", F.col("value").alias("json"))
+    wanted = project_sources.where(named).select(
+        F.col("project").alias("_project"), F.coalesce(F.nullif(F.col("ref"), F.lit("")), F.lit("")).alias("_ref")
     )
+    same = (F.col("project") == F.col("_project")) & (F.coalesce(F.col("ref"), F.lit("")) == F.col("_ref"))
+    lines = drop_blank_lines(landed).join(broadcast_if_small(wanted.distinct()), same)
+    return lines.select("project", F.nullif(F.col("ref"), F.lit("")).alias("ref"), F.col("value").alias("json"))

@@ -143,15 +143,16 @@ def test_a_dominant_email_is_split_over_tasks(spark, conf):
 
 
 def test_only_landed_directories_of_wanted_projects_are_read(spark, tmp_path):
-    for name in ("a", "b", "c"):
-        (tmp_path / f"project={name}").mkdir()
-        (tmp_path / f"project={name}" / "1.json").write_text(f'{{"name":"{name}"}}\n' * 2000)
+    for name, ref in [("a", "main"), ("b", "main"), ("b", "v1"), ("c", "main")]:
+        (tmp_path / f"project={name}" / f"ref={ref}").mkdir(parents=True)
+        (tmp_path / f"project={name}" / f"ref={ref}" / "1.json").write_text(f'{{"name":"{name}"}}\n' * 2000)
     path = str(tmp_path / "_projects")
-    spark.createDataFrame([("b", "b", None)], "id string, name string, ref_name string").write.parquet(path)
+    spark.createDataFrame([("b", "b", "v1")], "id string, name string, ref_name string").write.parquet(path)
     projects = with_source(spark.read.parquet(path), landing_location("/x"))
     lines = read_contributor_lines(spark, str(tmp_path), projects)
     assert lines.groupBy("project").count().collect()[0][:] == ("b", 2000)
-    assert "dynamicpruningexpression(project" in executed(lines)
+    read = executed(lines)
+    assert "dynamicpruningexpression(project" in read
 
 
 def test_broadcast_depends_on_the_measured_size(spark, conf, rows):

@@ -5,6 +5,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
+from changeledger.operators.contributors import flatten_contributors
 from changeledger.plans.commits import CommitsJob, build_project_stats, contributor_stats, run_commits_job, select_projects
 from changeledger.schemas import COMMIT_CHANGE
 from changeledger.sinks.documents import Target
@@ -37,26 +38,47 @@ def test_audit_log_directory_with_gzip(spark, tmp_path):
 
 
 def test_project_sources(spark, rows):
-    projects = spark.createDataFrame([("a%2Fb", "a/b", None), ("c", "c", "refs/tags/1")], PROJECT)
+    projects = spark.createDataFrame([("lib%2Fcore+x", "lib/core x", None), ("tool", "tool", "refs/tags/7"), ("app", "app", "")], PROJECT)
     at = with_source(projects, landing_location("/land"))
-    assert rows(at) == [("a/b", "/land/project=a%2Fb"), ("c", "/land/project=c?ref=refs/tags/1")]
-    assert rows(with_source(projects, landing_location(None))) == [("a/b", None), ("c", None)]
-    custom = with_source(projects, lambda i, n, r: F.concat(F.lit("x:"), i, F.coalesce(r, F.lit(""))))
-    assert rows(custom) == [("a/b", "x:a%2Fb"), ("c", "x:crefs/tags/1")]
-
-
-def test_contributor_lines(spark, tmp_path, rows):
-    write(tmp_path / "project=a%2Fb" / "1.json", '{"foo":"bar"}\n\n  \t \n{"foo1":"bar1"}\n')
-    write(tmp_path / "project=007" / "1.json", '{"k":"Ā"}\n')
-    write(tmp_path / "project=other" / "1.json", '{"no":1}\n')
-    projects = spark.createDataFrame(
-        [("a%2Fb", "a/b", None), ("007", "007", None), ("absent", "absent", None), ("007", "007", "again")], PROJECT
-    )
-    root = str(tmp_path)
-    lines = read_contributor_lines(spark, root, with_source(projects, landing_location(root)))
-    assert rows(lines) == [("007", '{"k":"Ā"}'), ("a/b", '{"foo":"bar"}'), ("a/b", '{"foo1":"bar1"}')]
-    without = read_contributor_lines(spark, root, with_source(projects, landing_location(None)))
-    assert rows(without) == []
+    assert rows(at) == [
+        ("app", None, "/land/project=app/ref=__HIVE_DEFAULT_PARTITION__"),
+        ("lib/core x", None, "/land/project=lib%2Fcore%20x/ref=__HIVE_DEFAULT_PARTITION__"),
+        ("tool", "refs/tags/7", "/land/project=tool/ref=refs%2Ftags%2F7"),
+    ]
+    assert {r.source for r in with_source(projects, landing_location(None)).collect()} == {None}
+    custom = with_source(projects, lambda i, n, r: F.concat(F.lit("at:"), i, F.coalesce(r, F.lit(""))))
+    assert sorted(r.source for r in custom.collect()) == ["at:app", "at:lib%2Fcore+x", "at:toolrefs/tags/7"]
+
+
+ODD_NAMES = ["lib/core", "two words", "a+b", "50%", "x*y", "007", "é"]
+
+
+def test_contributor_lines_of_odd_names(spark, tmp_path, rows):
+    """Landed where `landing_location` says, every name comes back as it was."""
+    projects = spark.createDataFrame([(n, None) for n in ODD_NAMES] + [("absent", None), (None, None)], "name string, ref_name string")
+    projects = projects.select(F.url_encode("name").alias("id"), "name", "ref_name")
+    sources = with_source(projects, landing_location(str(tmp_path)))
+    for row in sources.where("project <> 'absent'").collect():
+        write(tmp_path / row.source.removeprefix(f"{tmp_path}/") / "1.json", '{"of":"%s"}\n\n  \t \n' % row.project)
+    write(tmp_path / "project=unwanted" / "ref=main" / "1.json", '{"no":1}\n')
+    lines = read_contributor_lines(spark, str(tmp_path), sources)
+    assert rows(lines) == sorted((n, None, '{"of":"%s"}' % n) for n in ODD_NAMES)
+    assert read_contributor_lines(spark, str(tmp_path), with_source(projects, landing_location(None))).count() == 0
+
+
+def test_contributor_lines_of_one_ref(spark, tmp_path, rows):
+    for ref in ("main", "refs%2Ftags%2F7", "__HIVE_DEFAULT_PARTITION__"):
+        write(tmp_path / "project=tool" / f"ref={ref}" / "1.json", '{"name":"%s"}\n' % ref)
+    write(tmp_path / "project=app" / "ref=main" / "1.json", '{"name":"app","starting_revision":"own"}\n')
+    projects = spark.createDataFrame([("tool", "tool", "refs/tags/7"), ("tool", "tool", ""), ("app", "app", "main"), ("app", "app", "gone")], PROJECT)
+    lines = read_contributor_lines(spark, str(tmp_path), with_source(projects, landing_location(str(tmp_path))))
+    shown = flatten_contributors(lines).select("project", "author", "starting_revision")
+    assert rows(shown) == [("app", "app", "own"), ("tool", "__HIVE_DEFAULT_PARTITION__", None), ("tool", "refs%2Ftags%2F7", "refs/tags/7")]
+
+
+def test_job_without_a_target(spark):
+    with pytest.raises(ValueError, match="output_dir"):
+        run_commits_job(spark, CommitsJob(landing_root="x"))
 
 
 def test_blank_lines(spark, rows):
@@ -87,6 +109,29 @@ def test_bad_page_fails_the_load(spark, tmp_path, read):
         read(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize(
+    "read, bodies",
+    [
+        (read_known_projects, ["", "  ", '{"name": "a"}', '[{"state": "ACTIVE"}]', '[{"name": null}]']),
+        (read_accounts, ["", '{"_account_id": 1}', '[{"name": "A"}]', '[{"_account_id": null}]']),
+        (read_project_listing, ["", "[]", '{"a": {}}', '{"a": {"id": null}}']),
+    ],
+)
+def test_other_shapes_fail_the_load(spark, tmp_path, read, bodies):
+    for number, body in enumerate(bodies):
+        path = write(tmp_path / str(number) / "page1.json", PREFIX + body)
+        with pytest.raises(Exception, match="(?i)malformed"):
+            read(spark, path).collect()
+    with pytest.raises(ValueError, match="empty"):
+        read(spark, write(tmp_path / "none" / "page1.json", ""))
+
+
+def test_the_later_page_has_the_larger_number(spark, tmp_path, rows):
+    for number, name in [(2, "old"), (10, "new"), (9, "older")]:
+        write(tmp_path / f"page{number}.json", PREFIX + f'[{{"_account_id": 8, "name": "{name}"}}]')
+    assert rows(read_accounts(spark, str(tmp_path))) == [(8, "new")]
+
+
 def test_accounts(spark, tmp_path, rows):
     write(
         tmp_path / "1.json",
@@ -143,6 +188,23 @@ def test_manifest(spark, tmp_path, rows):
     ]
 
 
+@pytest.mark.parametrize("text", ["<manifest><project name='a'/>", "<manifest><project name='a'></manifest>", "", "<other><project name='a'/></other>"])
+def test_broken_manifest_fails_the_load(spark, tmp_path, text):
+    write(tmp_path / "good.xml", '<manifest><project name="fine"/></manifest>')
+    write(tmp_path / "odd.xml", text)
+    with pytest.raises(Exception, match="(?i)malformed|failed|error"):
+        read_manifest(spark, str(tmp_path)).collect()
+    job = CommitsJob(landing_root=str(tmp_path / "land"), manifest=str(tmp_path / "odd.xml"), output_dir=str(tmp_path / "out"))
+    write(tmp_path / "land" / "project=a" / "ref=main" / "1.json", "{}\n")
+    with pytest.raises(Exception, match="(?i)malformed|failed|error"):
+        run_commits_job(spark, job)
+
+
+def test_manifest_names_keep_their_blanks(spark, tmp_path, rows):
+    path = write(tmp_path / "m.xml", '<manifest><project name=" a "/></manifest>')
+    assert [r.name for r in read_manifest(spark, path).collect()] == [" a "]
+
+
 def test_manifest_without_default(spark, tmp_path, rows):
     path = write(tmp_path / "m.xml", '<manifest><project name="a"/><project name="b" revision="r"/></manifest>')
     assert rows(read_manifest(spark, path)) == [("a", "a", ""), ("b", "b", "r")]
@@ -159,8 +221,8 @@ def test_project_selection(spark, tmp_path, rows):
 
 def test_commits_job(spark, tmp_path, rows):
     line = '{"name":"ada","email":"ada@corp.com","num_commits":1,"last_commit_date":5,"commits":[{"sha1":"x"}]}'
-    write(tmp_path / "land" / "project=m" / "1.json", line + "\n\n" + line.replace("ada", "bob") + "\n")
-    write(tmp_path / "land" / "project=z" / "1.json", line + "\n")
+    write(tmp_path / "land" / "project=m" / "ref=__HIVE_DEFAULT_PARTITION__" / "1.json", line + "\n\n" + line.replace("ada", "bob") + "\n")
+    write(tmp_path / "land" / "project=z" / "ref=main" / "1.json", line + "\n")
     manifest = write(tmp_path / "m.xml", '<manifest><project name="m"/></manifest>')
     aliases = write(tmp_path / "a.csv", "author,email,organization\nAda L,ada@corp.com,Big\n")
     job = CommitsJob(

@@ -92,3 +92,14 @@ def test_bad_bound_is_an_error():
     assert times.parse_bound("2018-01-01") == dt.date(2018, 1, 1)
     with pytest.raises(ValueError, match="invalid date"):
         times.parse_bound("01/01/2018")
+
+
+def test_times_out_of_range_become_null(spark):
+    """A nanosecond stamp in place of milliseconds must not end a job."""
+    df = spark.createDataFrame([(1_700_000_000_123_456_789,), (-9_223_372_036_854_775_808,), (1_700_000_000_123,)], "ms long")
+    shown = df.select(
+        times.time_bucket(F.col("ms"), "day").alias("bucket"), times.epoch_ms_to_iso(F.col("ms")).alias("iso"),
+        times.epoch_ms_to_stamp(F.col("ms"), "yyyyMMdd").alias("stamp"), times.epoch_seconds_to_timestamp(F.col("ms")).alias("seconds"),
+    ).collect()
+    assert [r.bucket is None for r in shown] == [True, True, False] and [r.iso is None for r in shown] == [True, True, False]
+    assert shown[2].stamp == "20231114" and shown[0].seconds is None

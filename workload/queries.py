@@ -69,13 +69,20 @@ def s1_audit_log_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_logs.read_audit_log(spark, path)
 
 
-def _land_contributors(spark: SparkSession, sf_dir: str) -> str:
+def _pinned_ref() -> Column:
+    """Some projects are imported from a tag, the others from their default branch."""
+    return F.when(F.col("project").endswith("machinery"), "refs/tags/v1")
+
+
+def _land_contributors(spark: SparkSession, sf_dir: str, ref: Column) -> str:
+    """Lines under the ref, blank ones among them, and the same lines again under a ref nobody wants."""
     root = scratch_dir(spark, "contributors")
     lines = views.contributor_lines(spark, sf_dir)
     padded = F.explode(F.array(F.col("json"), F.lit(""), F.lit(" \t ")))
+    refs = lines.select(padded.alias("value"), "project", F.array(ref, F.lit("refs/heads/another")).alias("refs"))
+    staged = refs.select("value", "project", F.explode("refs").alias("ref"))
     # Rebalancing gives few files per project and still splits a project that dominates.
-    rebalanced = lines.select(padded.alias("value"), "project").hint("rebalance", F.col("project"))
-    rebalanced.write.partitionBy("project").text(root)
+    staged.hint("rebalance", F.col("project")).write.partitionBy("project", "ref").text(root)
     return root
 
 
@@ -94,10 +101,10 @@ def _wanted_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def s2_contributor_lines_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _land_contributors(spark, sf_dir)
+    root = _land_contributors(spark, sf_dir, _pinned_ref())
     sources = landed.with_source(_wanted_projects(spark, sf_dir), landed.landing_location(root))
     lines = landed.read_contributor_lines(spark, root, sources)
-    return lines.select("project", F.get_json_object("json", "$.email").alias("email"), F.length("json").cast("bigint").alias("line_length"))
+    return lines.select("project", "ref", F.get_json_object("json", "$.email").alias("email"), F.length("json").cast("bigint").alias("line_length"))
 
 
 @query
@@ -336,8 +343,8 @@ def j5_trailing_known_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def j6_project_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing restricted to a prefix, then joined with the landed lines."""
-    root = _land_contributors(spark, sf_dir)
+    """Listing restricted to a prefix, then joined with the landed lines of the default branches."""
+    root = _land_contributors(spark, sf_dir, F.lit(None).cast("string"))
     path = scratch_dir(spark, "selection")
     entry = """concat('"nation', n_nationkey, '/building": {"id": "nation', n_nationkey, '%2Fbuilding"}')"""
     entries = views.table(spark, sf_dir, "nation").selectExpr(f"{entry} AS entry", "n_nationkey")
@@ -551,7 +558,7 @@ def g4_top_receive_pack_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m1_contributor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _land_contributors(spark, sf_dir)
+    root = _land_contributors(spark, sf_dir, _pinned_ref())
     stats = commits.contributor_stats(spark, _wanted_projects(spark, sf_dir), root)
     return stats.select(
         "project", "author", "email", "year", "day", "num_files", "last_commit_date", "is_merge", F.size("commits").alias("commits")
@@ -567,11 +574,12 @@ def m2_dashboard_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m3_project_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole commits job up to its sinks, projects taken from a manifest."""
-    root = _land_contributors(spark, sf_dir)
+    """The whole commits job up to its sinks, projects and refs taken from a manifest."""
+    root = _land_contributors(spark, sf_dir, F.coalesce(_pinned_ref(), F.lit("main")))
     manifest_path, aliases_path = scratch_dir(spark, "manifest"), scratch_dir(spark, "aliases")
     entries = _wanted_projects(spark, sf_dir).selectExpr(
-        """concat('<project name="', name, '"/>') AS entry""", "regexp_extract(name, 'nation([0-9]+)/', 1) AS nation"
+        """concat('<project name="', name, '"', if(ref_name IS NULL, '', concat(' revision="', ref_name, '"')), '/>') AS entry""",
+        "regexp_extract(name, 'nation([0-9]+)/', 1) AS nation"
     )
     opening = '<manifest><default revision="main"/>'
     _write_pages(views.as_documents(entries, F.col("nation"), opening, "", "</manifest>"), manifest_path)
