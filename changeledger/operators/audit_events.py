@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..schemas import AUDIT_EVENT_COLUMNS, AUDIT_LINE
-from .parsed_json import inline_json
+from ..session import require_utc
 
 # Record type in the log -> audit type in the result.
 AUDIT_TYPES = {
@@ -28,9 +28,13 @@ def parse_audit_lines(lines: DataFrame) -> DataFrame:
     `who`, `access_path` are optional; HTTP events also need a method and carry the HTTP status
     as their result. SSH events have a null `http_method`.
     """
-    # from_json would accept text after the object; such a line is not one JSON document.
+    # Read as the elements of an array, a line that holds more than one document, or anything after
+    # its document, does not count as an event; the last character tells a bracket that would close
+    # the array early. The generator keeps the parse from being repeated.
     whole = lines.where(F.rtrim(F.col("value"), F.lit(" \t\r")).endswith("}"))
-    parsed = inline_json(whole, "value", AUDIT_LINE, options={"allowSingleQuotes": "false"})
+    documents = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<struct<{AUDIT_LINE}>>", {"allowSingleQuotes": "false"})
+    listed = whole.select(F.inline(F.array(F.struct(documents.alias("documents")))))
+    parsed = listed.where(F.size("documents") == 1).select(F.col("documents")[0].alias("line")).select("line.*")
     audit_type = F.lit(None).cast("string")
     for record_type, name in AUDIT_TYPES.items():
         audit_type = F.when(F.col("type") == record_type, F.lit(name)).otherwise(audit_type)
@@ -79,4 +83,5 @@ def filter_time_range(
 
 
 def with_time_bucket(events: DataFrame, unit: str = "hour") -> DataFrame:
-    return events.withColumn("events_time_bucket", times.time_bucket(F.col("time_at_start"), unit))
+    """Add the bucket of the start time; the session must read times as UTC."""
+    return require_utc(events).withColumn("events_time_bucket", times.time_bucket(F.col("time_at_start"), unit))

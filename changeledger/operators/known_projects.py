@@ -50,22 +50,22 @@ def first_known(rows: DataFrame, candidates: Column, known: DataFrame, output: s
     return with_longest_known(best, known).select(*rows.columns, name.alias(output))
 
 
-def _match_text(df: DataFrame, text: str, known: DataFrame, output: str, runs: Column) -> DataFrame:
-    texts = df.select(text).where(F.col(text).isNotNull()).distinct()
-    matched = first_known(texts, runs, known, output).where(F.col(output).isNotNull())
-    return df.join(matched, text, "left").select(*df.columns, output)
+def _first_known_of_rows(df: DataFrame, candidates: Column, known: DataFrame, output: str) -> DataFrame:
+    """The same for any rows: a number makes them distinct, so they are read once and not joined back."""
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    return first_known(numbered, candidates, known, output).select(*df.columns, output)
 
 
 def match_leading(df: DataFrame, text: str, known: DataFrame, separator: str = ".", output: str = "project") -> DataFrame:
     """Longest run of leading tokens of `text` that is a known project."""
     runs = project_fields.leading_runs(F.col(text), separator, F.col(LONGEST[separator]))
-    return _match_text(df, text, known, output, runs)
+    return _first_known_of_rows(df, runs, known, output)
 
 
 def match_trailing(df: DataFrame, text: str, known: DataFrame, separator: str = ".", output: str = "project") -> DataFrame:
     """Longest run of trailing tokens of `text` that is a known project."""
     runs = project_fields.trailing_runs(F.col(text), separator, F.col(LONGEST[separator]))
-    return _match_text(df, text, known, output, runs)
+    return _first_known_of_rows(df, runs, known, output)
 
 
 def _audit_candidates() -> Column:
@@ -92,21 +92,9 @@ def with_project_of_distinct(rows: DataFrame, known: DataFrame | None) -> DataFr
 
 
 def with_project(events: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Add `project` to any events: each distinct text that needs the catalogue is looked up once."""
+    """Add `project` to any events; equal events keep their number."""
     spelled = _with_spelled_out(events)
     if known is None:
         return spelled.withColumnRenamed("_spelled_out", "project")
-    texts = (
-        spelled.where(F.col("_spelled_out").isNull() & F.col("access_path").isin("SSH_COMMAND", "GIT"))
-        .select("what", "access_path", "_spelled_out")
-        .distinct()
-    )
-    looked_up = (
-        first_known(texts, _audit_candidates(), known, "_looked_up")
-        .where(F.col("_looked_up").isNotNull())
-        .select("what", "access_path", "_looked_up")
-    )
-    project = F.coalesce(F.col("_spelled_out"), F.col("_looked_up"))
-    return spelled.join(looked_up, ["what", "access_path"], "left").select(
-        *events.columns, project.alias("project")
-    )
+    looked_up = _first_known_of_rows(spelled, _audit_candidates(), known, "_looked_up")
+    return looked_up.select(*events.columns, F.coalesce("_spelled_out", "_looked_up").alias("project"))

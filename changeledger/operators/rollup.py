@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import times
 from ..schemas import CONTRIBUTOR_FIELDS
+from ..session import require_utc
 
 # Aggregation name -> time parts kept beside project, author and email.
 GRAINS = {
@@ -30,28 +31,12 @@ def filter_commit_dates(
     return changes.where(times.within_range(F.col("date"), since, until))
 
 
-def _with_branches(rolled: DataFrame, keyed: DataFrame, grain: list[str]) -> DataFrame:
-    """Add the sorted branch names of each group.
-
-    Names are made distinct before they are gathered, so a list grows with a project's branches and
-    not with its commits. Doing this beside the counters would turn their hash aggregation into a
-    sorting one; both sides end up partitioned by the grain, so the join adds no shuffle.
-    """
-    named = keyed.where(F.col("branch").isNotNull()).select(*grain, "branch").distinct()
-    branches = named.groupBy(*[F.col(name).alias(f"_{name}") for name in grain]).agg(
-        F.sort_array(F.collect_list("branch")).alias("branches")
-    )
-    same = F.lit(True)
-    for name in grain:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return rolled.join(branches, same, "left").drop(*[f"_{name}" for name in grain])
-
-
 def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_branches: bool = False) -> DataFrame:
     """Activity per project, author, email and time grain, in the flattened contributor layout.
 
     `changes` has one row per file touched by a commit: project, author, email, sha1, date (epoch
-    ms), merge, file, added_lines, deleted_lines and, for `extract_branches`, branch. Distinct
+    ms), merge, file, added_lines, deleted_lines and, for `extract_branches`, branches: a commit on
+    several branches has one row per file all the same, so it is measured once. Distinct
     commits and files are counted exactly by two-phase aggregation, so a contributor holding most
     of the rows is spread over tasks by commit and file; no commit list is gathered per group (the
     `commits` column is null, commit ids come as rows from the changes themselves).
@@ -59,8 +44,9 @@ def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_b
     """
     if aggregate not in GRAINS:
         raise ValueError(f"unknown aggregation '{aggregate}', expected one of {', '.join(GRAINS)}")
+    require_utc(changes)
     parts = GRAINS[aggregate]
-    committed = F.timestamp_millis(F.col("date"))
+    committed = times.epoch_ms_to_timestamp(F.col("date"))
     keyed = changes.withColumns({name: _TIME_PARTS[name](committed) for name in parts}) if parts else changes
     measures = [
         F.count("file").alias("num_files"),
@@ -71,10 +57,11 @@ def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_b
         F.max("date").alias("last_commit_date"),
         F.bool_or("merge").alias("is_merge"),
     ]
-    grain = ["project", "author", "email", *parts]
-    rolled = keyed.groupBy(*grain).agg(*measures)
     if extract_branches:
-        rolled = _with_branches(rolled, keyed, grain)
+        # Sets of sets: what is gathered grows with a project's branches, not with its commits.
+        named = F.array_distinct(F.flatten(F.collect_set(F.array_sort(F.array_compact("branches")))))
+        measures.append(F.sort_array(F.nullif(named, F.array().cast("array<string>"))).alias("branches"))
+    rolled = keyed.groupBy("project", "author", "email", *parts).agg(*measures)
     present = set(rolled.columns)
     layout = {("author" if name == "name" else name): t for name, t in CONTRIBUTOR_FIELDS.items()}
     return rolled.select(

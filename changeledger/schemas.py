@@ -25,10 +25,10 @@ CONTRIBUTOR_FIELDS = {
     "starting_revision": "string",
 }
 
-# One file touched by one commit; `date` is in epoch milliseconds.
+# One file touched by one commit; `date` is in epoch milliseconds, `branches` are all that have the commit.
 COMMIT_CHANGE = """
     project string, author string, email string, sha1 string, date bigint, merge boolean,
-    file string, added_lines bigint, deleted_lines bigint, branch string
+    file string, added_lines bigint, deleted_lines bigint, branches array<string>
 """
 
 # Superset of the HTTP, extended HTTP and SSH audit records.

@@ -147,3 +147,10 @@ NOON = 17_532 * DAY + DAY // 2  # 2018-01-01T12:00Z
 def test_time_range(spark, since, until, ms, kept):
     df = spark.range(1).select(F.lit(ms).alias("time_at_start"))
     assert filter_time_range(df, since, until).count() == int(kept)
+
+
+@pytest.mark.parametrize("line, events", [("%s", 1), ("  %s\t", 1), ("%s%s", 0), ("%s,%s", 0), ("%s x", 0), ("%s]", 0), ("[%s]", 0), ("%s,", 0)])
+def test_a_line_is_one_document(spark, line, events):
+    event = '{"type":"SshAuditEvent","event":{"session_id":"s","what":"w","time_at_start":1,"elapsed":1,"uuid":{"uuid":"u"},"result":"0"}}'
+    lines = spark.createDataFrame([(line.replace("%s", event),)], "value string")
+    assert parse_audit_lines(lines).count() == events

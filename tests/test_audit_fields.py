@@ -3,39 +3,44 @@ from pyspark.sql import functions as F
 
 from changeledger.functions import audit_fields
 
-HTTP_GIT = "https://review.example.org/team/tool.git/git-upload-pack"
+FETCH = "https://code.invalid/kitchen/oven.git/git-upload-pack"
+PUSH_REFS = "https://code.invalid/kitchen/info/refs?service=git-receive-pack"
+BOTH = "http://code.invalid/git-upload-pack/git-receive-pack"
+QUERY = "/plugins/menu/dishes"
 
-# what, access_path, http_method -> command, arguments, sub-command
+# By rule: what, access_path, http_method -> command, arguments, sub-command
 CASES = [
-    ("review.cmd.-f.with.some-r.options", "SSH_COMMAND", None, "review", "cmd.-f.with.some-r.options", "cmd"),
-    ("replication.start.Team/*", "SSH_COMMAND", None, "replication", "start.Team/*", "start"),
-    ("review.stream-events.-s.patchset-created", "SSH_COMMAND", None, "review", "stream-events.-s.patchset-created", "stream-events"),
-    ("review.ls members.x", "SSH_COMMAND", None, "review", "ls members.x", "ls"),
+    # A session mark has neither arguments nor a method.
     ("LOGIN", "SSH_COMMAND", None, "LOGIN", None, "LOGIN"),
     ("LOGOUT", "SSH_COMMAND", None, "LOGOUT", None, "LOGOUT"),
-    # One character is consumed before the first dot that ends a command or its arguments.
-    (".hidden.x", "SSH_COMMAND", None, ".hidden", "x", "hidden"),
-    ("review..x", "SSH_COMMAND", None, "review", ".x", ""),
-    ("review.", "SSH_COMMAND", None, "review", None, ""),
-    ("git-upload-pack./team/tool", "GIT", None, "git-upload-pack", "/team/tool", None),
-    ("git-receive-pack./team/tool.io", "GIT", None, "git-receive-pack", "/team/tool.io", None),
-    (HTTP_GIT, "GIT", "POST", "git-upload-pack", HTTP_GIT, None),
-    ("https://h/team/info/refs?service=git-receive-pack", "GIT", "GET", "git-receive-pack", "https://h/team/info/refs?service=git-receive-pack", None),
-    # The last command on the line counts.
-    ("http://h/git-upload-pack/git-receive-pack", "GIT", "GET", "git-receive-pack", "http://h/git-upload-pack/git-receive-pack", None),
     ("LOGOUT", "GIT", None, "LOGOUT", None, None),
-    ("/config/server/version", "REST_API", "GET", "GET", "/config/server/version", "config"),
-    ("/config/server/version", "UNKNOWN", "PUT", "PUT", "/config/server/version", "config"),
-    ("/config/server/version", "REST_API", None, "/config/server/version", "/config/server/version", "config"),
-    ("/changes/team%2Ftool~1/comments", "REST_API", "GET", "GET", "/changes/team%2Ftool~1/comments", "changes"),
-    ("/a/changes/team%2Ftool~1/comments", "REST_API", "GET", "GET", "/a/changes/team%2Ftool~1/comments", "changes"),
-    ("/", "REST_API", "GET", "GET", "/", ""),
-    ("no-slash", "REST_API", "GET", "GET", "no-slash", "no-slash"),
-    ("Service.call", "JSON_RPC", "POST", "Service.call", None, None),
     ("AUTH", None, None, "FAILED_SSH_AUTH", None, None),
-    ("OTHER", None, None, "OTHER", None, None),
-    ("any", "elsewhere", "GET", "any", None, None),
-    ("review.x", "ssh_command", None, "review.x", None, None),
+    # Over SSH the first dot ends the command, the next one or a blank the sub-command.
+    ("cook.soup.-t.9.with-salt", "SSH_COMMAND", None, "cook", "soup.-t.9.with-salt", "soup"),
+    ("cook.all Dishes.*", "SSH_COMMAND", None, "cook", "all Dishes.*", "all"),
+    ("cook.taste", "SSH_COMMAND", None, "cook", "taste", "taste"),
+    ("cook.", "SSH_COMMAND", None, "cook", None, ""),
+    ("cook..taste", "SSH_COMMAND", None, "cook", ".taste", ""),
+    # One character is consumed before that first dot.
+    (".secret.taste", "SSH_COMMAND", None, ".secret", "taste", "secret"),
+    # Git over SSH names the command first; over HTTP the last command in the URL counts.
+    ("git-receive-pack./kitchen/oven.d", "GIT", None, "git-receive-pack", "/kitchen/oven.d", None),
+    ("git-upload-pack./sink", "GIT", None, "git-upload-pack", "/sink", None),
+    (FETCH, "GIT", "POST", "git-upload-pack", FETCH, None),
+    (PUSH_REFS, "GIT", "GET", "git-receive-pack", PUSH_REFS, None),
+    (BOTH, "GIT", "GET", "git-receive-pack", BOTH, None),
+    # A REST call is named by its method, else by its path; an optional /a/ is no sub-command.
+    (QUERY, "REST_API", "DELETE", "DELETE", QUERY, "plugins"),
+    (QUERY, "UNKNOWN", "HEAD", "HEAD", QUERY, "plugins"),
+    (QUERY, "REST_API", None, QUERY, QUERY, "plugins"),
+    ("/a/plugins/menu", "REST_API", "GET", "GET", "/a/plugins/menu", "plugins"),
+    ("/", "REST_API", "GET", "GET", "/", ""),
+    ("menu", "REST_API", "GET", "GET", "menu", "menu"),
+    # Other ways in have only a command, and the names of the ways are exact.
+    ("Cook.serve", "JSON_RPC", "POST", "Cook.serve", None, None),
+    ("Cook.serve", None, None, "Cook.serve", None, None),
+    ("Cook.serve", "elsewhere", "GET", "Cook.serve", None, None),
+    ("cook.soup", "ssh_command", None, "cook.soup", None, None),
 ]
 
 

@@ -10,21 +10,21 @@ from changeledger.operators.users import with_user_columns, with_user_identifier
 from changeledger.plans.audit import aggregate_events
 from changeledger.schemas import FACETS
 
-START = 1544802407000
-HOUR = dt.datetime(2018, 12, 14, 15)
+START = 1_625_140_991_000
+HOUR = dt.datetime(2021, 7, 1, 12)
 SCHEMA = (
     "audit_type string, access_path string, session_id string, who int, time_at_start bigint, what string, "
     "elapsed int, uuid string, http_method string, result string"
 )
-HTTP_WHAT = "https://review.example.org/Team/qa/git-upload-pack"
-SSH_ARGUMENTS = "query.--format.json.--current-patch-set.project:Team/qa"
+HTTP_WHAT = "https://code.invalid/fruit/plum/git-upload-pack"
+SSH_ARGUMENTS = "find.-a.-n.project:fruit/plum"
 
 
 def http(who=None, start=START):
     return ("HTTP", "GIT", "s", who, start, HTTP_WHAT, 12, "u", "GET", "200")
 
 
-def ssh(who=123, start=START, what="review." + SSH_ARGUMENTS):
+def ssh(who=123, start=START, what="shop." + SSH_ARGUMENTS):
     return ("SSH", "SSH_COMMAND", "s", who, start, what, 12, "u", None, "0")
 
 
@@ -49,7 +49,7 @@ def http_row(user=None, kind=None, project=None, n=1):
 
 
 def ssh_row(user="123", project=None, n=1, bucket=HOUR):
-    return (bucket, "SSH", user, "human", "SSH_COMMAND", "review", SSH_ARGUMENTS, "query", project, "0", n)
+    return (bucket, "SSH", user, "human", "SSH_COMMAND", "shop", SSH_ARGUMENTS, "find", project, "0", n)
 
 
 def test_anonymous_http(run):
@@ -87,8 +87,8 @@ def test_user_types(run):
 
 
 def test_projects(run):
-    assert run([http()], known=["Team/qa"]) == [http_row(project="Team/qa")]
-    assert run([ssh()], known=["Team/qa"]) == [ssh_row(project="Team/qa")]
+    assert run([http()], known=["fruit/plum"]) == [http_row(project="fruit/plum")]
+    assert run([ssh()], known=["fruit/plum"]) == [ssh_row(project="fruit/plum")]
 
 
 def test_events_that_fold_to_the_same_facets_are_summed(run):
@@ -98,18 +98,32 @@ def test_events_that_fold_to_the_same_facets_are_summed(run):
 
 
 def test_sub_command(run):
-    assert run([ssh(what="aCommand.aSubCommand")])[0][7] == "aSubCommand"
+    assert run([ssh(what="shop.peel.-v")])[0][7] == "peel"
 
 
 def test_time_range_and_unit(run):
-    events = [ssh(), ssh(start=START + 86_400_000 * 30)]
-    assert run(events, until="2018-12-20") == [ssh_row()]
+    events = [ssh(), ssh(start=START + 86_400_000 * 100)]
+    assert run(events, until="2021-07-20") == [ssh_row()]
     got = run(events, unit="quarter")
-    assert [(r[0], r[-1]) for r in got] == [(dt.datetime(2018, 10, 1), 1), (dt.datetime(2019, 1, 1), 1)]
+    assert [(r[0], r[-1]) for r in got] == [(dt.datetime(2021, 10, 1), 1), (dt.datetime(2021, 7, 1), 1)]
     with pytest.raises(ValueError, match="unknown time unit"):
         run(events, unit="fortnight")
 
 
+def test_a_time_that_is_too_large_has_no_bucket(run):
+    got = run([ssh(), ssh(start=1_625_140_991_000_000_000)], unit="day")
+    assert [(r[0], r[-1]) for r in got] == [(None, 1), (dt.datetime(2021, 7, 1), 1)]
+
+
+def test_another_session_zone_is_an_error(spark, run):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="Asia/Tokyo"):
+            run([ssh()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_optional_columns_may_be_absent(spark):
     df = spark.createDataFrame([(START, "x.y", "0", "SSH")], "time_at_start bigint, what string, result string, audit_type string")
     row = aggregate_events(df).collect()[0]

@@ -4,22 +4,24 @@ from changeledger.functions.organization import organization_of
 from changeledger.operators.contributors import with_organization
 
 CASES = {
+    # No part after an at sign that could be a domain.
+    "nobody here": "",
+    "x@": "",
     "": "",
-    "@": "",
-    "just words": "",
-    "dev@intranet": "intranet",
-    "dev@shop-com.com": "shop-com",
-    "dev@shop-couk.co.uk": "shop-couk",
-    "dev@shop-info.info": "shop-info",
-    "dev@mail.shop-couk.co.uk": "mail.shop-couk",
-    "dev@mail.shop-com.com": "mail.shop-com",
-    "dev@mail.shop-info.info": "mail.shop-info",
-    "Dev@Mail.Shop.COM": "mail.shop",
+    "root@10.20.30.40": "",
+    # A host of one label is the organisation.
+    "ci@buildbox": "buildbox",
+    # Extensions of two to four letters go, and `co` before one.
+    "li@orchard.de": "orchard",
+    "li@orchard.co.nz": "orchard",
+    "li@orchard.coop": "orchard",
+    # What precedes stays, in lower case.
+    "li@north.orchard.co.za": "north.orchard",
+    "LI@North.Orchard.NET": "north.orchard",
     # The character before the extension need not be a dot.
-    "a@foo.museum": "foo.m",
-    "a@foo.company": "foo",
+    "a@pear.museum": "pear.m",
+    "a@pear.company": "pear",
     "a@b@c": "b@c",
-    "a@1.2.3.4": "",
 }
 
 

@@ -12,7 +12,7 @@ HOUR = 3_600_000
 T0 = 17_532 * 24 * HOUR  # 2018-01-01T00:00Z
 SCHEMA = (
     "project string, author string, email string, sha1 string, date bigint, merge boolean, file string, "
-    "added_lines bigint, deleted_lines bigint, branch string"
+    "added_lines bigint, deleted_lines bigint, branches array<string>"
 )
 
 
@@ -20,11 +20,11 @@ SCHEMA = (
 def changes(spark):
     return spark.createDataFrame(
         [
-            ("p", "ada", "a@x", "c1", T0, False, "f1", 1, 10, "main"),
-            ("p", "ada", "a@x", "c1", T0, False, "f2", 2, 20, "main"),
-            ("p", "ada", "a@x", "c2", T0 + HOUR, True, "f1", 4, 40, "dev"),
+            ("p", "ada", "a@x", "c1", T0, False, "f1", 1, 10, ["main", "old"]),
+            ("p", "ada", "a@x", "c1", T0, False, "f2", 2, 20, ["old", "main"]),
+            ("p", "ada", "a@x", "c2", T0 + HOUR, True, "f1", 4, 40, ["dev"]),
             ("p", "ada", "a@x", "c3", T0 + 40 * 24 * HOUR, False, "f3", 8, 80, None),
-            ("p", None, None, "c4", T0, False, "f1", 16, 0, "odd"),
+            ("p", None, None, "c4", T0, False, "f1", 16, 0, ["odd", None]),
         ],
         SCHEMA,
     )
@@ -34,7 +34,7 @@ def test_whole_history(changes):
     got = {r.author: r for r in roll_up_contributors(changes, "email", extract_branches=True).collect()}
     ada = got["ada"]
     assert (ada.num_files, ada.num_distinct_files, ada.added_lines, ada.deleted_lines, ada.num_commits) == (4, 3, 15, 150, 3)
-    assert (ada.last_commit_date, ada.is_merge, ada.branches, ada.year) == (T0 + 40 * 24 * HOUR, True, ["dev", "main"], None)
+    assert (ada.last_commit_date, ada.is_merge, ada.branches, ada.year) == (T0 + 40 * 24 * HOUR, True, ["dev", "main", "old"], None)
     assert (got[None].num_commits, got[None].branches) == (1, ["odd"])
 
 

@@ -245,10 +245,10 @@ def test_commits_job(spark, tmp_path, rows):
 def test_commits_job_over_changes(spark, tmp_path, rows):
     changes = spark.createDataFrame(
         [
-            ("m", "ada", "ada@corp.com", "c1", 1_514_764_800_000, False, "f1", 1, 2, "main"),
-            ("m", "ada", "ada@corp.com", "c2", 1_514_764_800_000, True, "f1", 1, 2, "dev"),
-            ("m", "ada", "ada@corp.com", "c3", 1_577_836_800_000, False, "f2", 1, 2, "main"),
-            ("z", "ada", "ada@corp.com", "c4", 1_514_764_800_000, False, "f2", 1, 2, "main"),
+            ("m", "ada", "ada@corp.com", "c1", 1_514_764_800_000, False, "f1", 1, 2, ["main"]),
+            ("m", "ada", "ada@corp.com", "c2", 1_514_764_800_000, True, "f1", 1, 2, ["dev", "main"]),
+            ("m", "ada", "ada@corp.com", "c3", 1_577_836_800_000, False, "f2", 1, 2, ["main"]),
+            ("z", "ada", "ada@corp.com", "c4", 1_514_764_800_000, False, "f2", 1, 2, ["main"]),
         ],
         COMMIT_CHANGE,
     )

@@ -425,7 +425,7 @@ def x8_alias_organization_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_times(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
-    events = views.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    events = views.table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     return events.withColumn("ms", F.unix_millis("ts")), F.col("ms")
 
 
@@ -491,9 +491,8 @@ def t7_epoch_to_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def t8_zero_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _event_times(spark, sf_dir)
-    types = views.table(spark, sf_dir, "events").select("event_id", "event_type")
     bound = F.when(F.col("event_type") == "error", F.timestamp_seconds(F.lit(0))).otherwise(F.col("ts"))
-    return rows.join(types, "event_id").select("event_id", times.bound_or_none(bound).cast("string").alias("bound"))
+    return rows.select("event_id", times.bound_or_none(bound).cast("string").alias("bound"))
 
 
 # --- aggregation -----------------------------------------------------------------------------
@@ -628,3 +627,19 @@ for _unit in ("hour", "week", "quarter"):
 @query
 def m4_audit_counts_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _untyped(_counts(spark, sf_dir, "hour", since=SINCE, until=UNTIL), "events_time_bucket")
+
+
+@query
+def m4_audit_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole audit job up to its sink: gzip log, server pages and user list are staged and read."""
+    log, projects, accounts, types = (scratch_dir(spark, label) for label in ("audit-log", "known-projects", "accounts", "user-types"))
+    views.audit_lines(spark, sf_dir).write.option("compression", "gzip").text(log)
+    known = views.known_project_entries(spark, sf_dir).select(F.to_json(F.struct("name", "state")).alias("entry"), "s_suppkey")
+    _write_pages(views.as_pages(known, F.col("s_suppkey")), projects)
+    listed = views.account_entries(spark, sf_dir).select(F.to_json(F.struct("*")).alias("entry"), "_account_id")
+    _write_pages(views.as_pages(listed, F.col("_account_id")), accounts)
+    _user_types(spark, sf_dir).write.csv(types, header=True)
+    job = audit.AuditJob(
+        events_path=log, index=Target("unused"), known_projects_path=projects, accounts_path=accounts, additional_user_info_path=types
+    )
+    return _untyped(audit.build_audit_counts(spark, job), "events_time_bucket")

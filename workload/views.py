@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from changeledger.sources.server_pages import account_identifier
 
-HOST = "https://review.example.org/"
+HOST = "https://code.invalid/"
 PAGE_SIZE = 500
 
 
@@ -37,15 +37,15 @@ ACCESS_PATH = """
 
 WHAT = f"""
     CASE kind
-      WHEN 0 THEN concat('review.query.--format.json.--current-patch-set.(project:', p, ') commit:7f4e NOT is:draft')
-      WHEN 1 THEN concat('review.query.project:{{^', p, '}}.--format=JSON.--comments')
+      WHEN 0 THEN concat('shop.find.-v.(project:', p, ') color:blue size:2')
+      WHEN 1 THEN concat('shop.find.project:{{^', p, '}}.-n.5')
       WHEN 2 THEN concat('git-receive-pack./', p)
-      WHEN 3 THEN concat('replication.start.', p, '.--wait.--now')
-      WHEN 4 THEN concat('review.query.--format=JSON.project:', p, '.plugins.io.status:open')
-      WHEN 5 THEN concat('review.index.project.', p)
-      WHEN 6 THEN concat(p, '.review.--force...')
-      WHEN 7 THEN concat('review.ls.--all.', p)
-      WHEN 8 THEN CASE event_type WHEN 'signup' THEN 'LOGIN' WHEN 'error' THEN 'LOGOUT' ELSE 'review.version' END
+      WHEN 3 THEN concat('replication.start.', p, '.--url.x')
+      WHEN 4 THEN concat('shop.find.-v.project:', p, '.plugins.io.ripe:yes')
+      WHEN 5 THEN concat('shop.index.project.', p)
+      WHEN 6 THEN concat(p, '.shop.-f...')
+      WHEN 7 THEN concat('shop.ls.-a.', p)
+      WHEN 8 THEN CASE event_type WHEN 'signup' THEN 'LOGIN' WHEN 'error' THEN 'LOGOUT' ELSE 'shop.version' END
       WHEN 9 THEN concat('{HOST}', p, '/info/refs?service=git-upload-pack')
       WHEN 10 THEN concat('git-upload-pack./', p)
       WHEN 11 THEN concat('{HOST}', p, '/git-receive-pack')
@@ -55,7 +55,7 @@ WHAT = f"""
       WHEN 15 THEN concat('ProjectAdminService.', event_type)
       WHEN 16 THEN 'AUTH'
       WHEN 17 THEN concat('/plugins/', event_type)
-      ELSE concat('review.query.project:', p) END"""
+      ELSE concat('shop.find.project:', p) END"""
 
 
 def audit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +208,7 @@ def commit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("src/file-", F.col("l_partkey")).alias("file"),
         F.col("l_quantity").cast("bigint").alias("added_lines"),
         F.col("l_linenumber").cast("bigint").alias("deleted_lines"),
-        "branch",
+        F.when(F.col("merge"), F.array("branch", F.lit("release"))).otherwise(F.array("branch")).alias("branches"),
     )
 
 
