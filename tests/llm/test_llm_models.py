@@ -1,0 +1,172 @@
+"""Toxicity, quality, the registered queries and the pipeline."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from changeledger.llm import decontamination, language_id, line_dedup, ngram_join, quality, toxicity
+from changeledger.llm.batches import fold_is, id_and_text, stored
+from changeledger.llm.calibration import fit_isotonic
+from changeledger.llm.queries import ORACLE_SQL, QUERIES
+
+SF_DIR = __spark_entry__.SMOKE_DIR
+needs_tables = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="needs the supplied tables")
+
+
+def labelled_corpus(spark, seed):
+    """Texts of which those with words of a list, or many words of one beginning, are labelled."""
+    random_ = random.Random(seed)
+    plain = ["".join(random_.choice("abcdefghij") for _ in range(random_.randrange(2, 9))) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(600):
+        words = [random_.choice(plain) for _ in range(random_.randrange(20, 80))]
+        label = int(i % 5 == 0)
+        if label and i % 2:
+            words[3:3] = random_.sample(["vile", "nasty", "gross"], 2)
+        elif label:
+            words += [f"grr{random_.choice(plain)}" for _ in range(6)]
+        rows.append((i, " ".join(words), 0.5, "e"))
+        labels.append((i, label))
+    rows += [(900, None, 0.0, ""), (901, "", 0.0, ""), (902, "vile nasty gross " * 9_000, 0.0, ""), (1, rows[1][1], 0.0, "")]
+    labels += [(5, 1), (5, 0), (7, None), (None, 1), (4_000, 1)]
+    return id_and_text(spark.createDataFrame(rows, "doc_id long, text string, score double, evidence string")), spark.createDataFrame(labels, "doc_id long, label int"), dict(labels[:600])
+
+
+def test_toxicity_of_texts_that_were_not_learned(spark):
+    documents, labels, truth = labelled_corpus(spark, 1)
+    model = toxicity.fit(documents, labels.filter(~fold_is(F.col("doc_id"), 3, 1)))
+    found = toxicity.predict(documents, model).collect()
+    assert len(found) == 604 and all(0 <= r.score <= 1 for r in found)
+    scores = {r.doc_id: r.score for r in found}
+    held_out = [r.doc_id for r in documents.filter(fold_is(F.col("doc_id"), 3, 1)).collect() if r.doc_id < 600]
+    assert np.mean([(scores[i] >= 0.7) == truth[i] for i in held_out]) > 0.97
+    assert scores[902] >= 0.7 and scores[900] == scores[901] < 0.3
+    evidence = {r.doc_id: r.evidence for r in found}
+    assert evidence[900] == [] and len(evidence[902]) == model.neighbours
+
+
+def test_nearest_examples_are_exact():
+    random_ = np.random.RandomState(5)
+    examples = []
+    for i in range(700):
+        terms = np.sort(random_.choice(40, random_.randint(1, 8), replace=False))
+        values = random_.rand(len(terms)) + 0.1
+        examples.append((i, i % 2, 1.0, terms, values / np.linalg.norm(values)))
+    examples += [(1_000 + i, 1, 1.0, examples[0][3], examples[0][4]) for i in range(30)]
+    index = toxicity.ExampleIndex.build(examples, 40)
+    for _, _, _, terms, values in examples[:60]:
+        numbers, similar = index.nearest(terms, values, 15, skip=3)
+        dense = np.zeros(40)
+        dense[terms] = values
+        brute = sorted((-round(float(v @ dense[t]), 12), i) for i, _, _, t, v in examples if i != 3 and v @ dense[t] > 0)[:15]
+        assert index.ids[numbers].tolist() == [i for _, i in brute]
+        assert np.allclose(similar, [-s for s, _ in brute])
+
+
+def test_one_class_or_no_labels(spark):
+    documents, labels, _ = labelled_corpus(spark, 2)
+    for some in (labels.limit(0), labels.filter("label = 0")):
+        model = toxicity.fit(documents, some)
+        assert {r.score for r in toxicity.predict(documents, model).collect()} == {0.0}
+    measured = stored(quality.measure(documents), "test")
+    assert {r.score for r in quality.predict(measured, quality.fit(measured, labels.limit(0))).collect()} == {0.0}
+    none = documents.limit(0)
+    assert toxicity.predict(none, toxicity.fit(none, labels)).count() == 0
+    empty = quality.measure(none)
+    assert quality.predict(empty, quality.fit(empty, labels)).count() == 0
+
+
+def test_isotonic_regression():
+    x, y = np.array([3.0, 1.0, 2.0, 4.0, 2.0]), np.array([1.0, 0.0, 1.0, 0.0, 1.0])
+    step = fit_isotonic(x, np.ones(5), y)
+    assert step(np.array([0.0, 1.0, 1.4, 1.6, 2.0, 9.0])).tolist() == pytest.approx([0, 0, 0, 0.75, 0.75, 0.75])
+    assert fit_isotonic(np.zeros(0), np.zeros(0), np.zeros(0))(np.ones(2)).tolist() == [0, 0]
+
+
+def test_normal_equations_and_kernel(spark):
+    random_ = np.random.RandomState(1)
+    rows = [(i, random_.normal(size=len(quality.STATISTICS)).tolist(), int(i % 3 == 0)) for i in range(90)]
+    frame = spark.createDataFrame(rows, "doc_id long, statistics array<double>, label int").repartition(4)
+    size = len(quality.STATISTICS)
+    model = quality.Quality(np.zeros(size), np.ones(size), random_.normal(0, 1 / 4.0, (size, 2_000)), random_.uniform(0, 2 * np.pi, 2_000), np.zeros(2_001), fit_isotonic(np.zeros(0), np.zeros(0), np.zeros(0)))
+    data = np.array([r[1] for r in rows])
+    z = model.cosines(data)[:, 1:]
+    kernel = np.exp(-((data[:, None] - data[None]) ** 2).sum(axis=2) / (2 * 16))
+    assert np.abs(z @ z.T - kernel).max() < 0.15
+    small = quality.Quality(model.mean, model.scale, model.projection[:, :20], model.phase[:20], np.zeros(21), model.calibrated)
+    matrix, right = quality._normal_equations(frame, small)
+    z = small.cosines(data)
+    assert np.allclose(matrix, z.T @ z) and np.allclose(right, z.T @ np.array([r[2] for r in rows]))
+
+
+def test_quality_of_texts_that_were_not_learned(spark):
+    random_ = random.Random(6)
+    good = lambda: " ".join(random_.choice(["river", "stone", "the", "walks", "of", "green", "day."]) for _ in range(60)).capitalize()
+    bad = [lambda: "BUY NOW!! " * random_.randrange(5, 40), lambda: "".join(random_.choice("#$%&*@9 ") for _ in range(300)), lambda: "x " * 80]
+    rows = [(i, good() if i % 3 else random_.choice(bad)()) for i in range(400)] + [(900, None), (901, "")]
+    documents = id_and_text(spark.createDataFrame(rows, "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(400)], "doc_id long, label int")
+    measured = stored(quality.measure(documents), "test")
+    model = quality.fit(measured, labels.filter(~fold_is(F.col("doc_id"), 3, 1)))
+    scores = {r.doc_id: r.score for r in quality.predict(measured, model).collect()}
+    held_out = [r.doc_id for r in documents.filter(fold_is(F.col("doc_id"), 3, 1)).collect() if r.doc_id < 400]
+    assert np.mean([(scores[i] >= 0.5) == (i % 3 > 0) for i in held_out]) > 0.97
+    assert all(0 <= s <= 1 for s in scores.values()) and scores[900] == scores[901]
+
+
+def test_every_operator_has_its_query():
+    names = list(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert {*names, "pipeline"} <= set(__spark_entry__.queries()) and set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "byte-level BPE"]
+
+
+@needs_tables
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "labels", "benchmark", "embeddings"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    frame = QUERIES[name](spark, SF_DIR)
+    relation = duck.sql(ORACLE_SQL[name])
+    columns = sorted(frame.columns)
+    assert columns == sorted(relation.columns)
+    want = sorted(tuple(row[relation.columns.index(c)] for c in columns) for row in relation.fetchall())
+    assert sorted(tuple(row[c] for c in columns) for row in frame.collect()) == want
+
+
+@needs_tables
+def test_pipeline_stages(spark, tmp_path):
+    """Each stage against what its operator says about the rows that it got."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns = docs.columns
+    odd = spark.createDataFrame([(10**9, None, "en", "s", 0), (10**9 + 1, "", None, None, 0), (10**9 + 2, "12 34", "en", None, 5)], docs.schema)
+    docs = docs.unionByName(odd)
+    after = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stored(stage(spark, docs, SF_DIR), "stage")
+        after[name] = (before, docs)
+        assert name == "byte-level BPE" or docs.columns == columns
+    before, kept = after["language ID"]
+    ids = {r.doc_id for r in kept.collect()}
+    assert not ids & {10**9, 10**9 + 1, 10**9 + 2} and len(ids) >= 0.98 * (before.count() - 3)
+    before, kept = after["line dedup"]
+    want = line_dedup.drop_boilerplate(before).select("doc_id", "text")
+    assert sorted(map(tuple, kept.select("doc_id", "text").collect())) == sorted(map(tuple, want.collect()))
+    before, kept = after["n-gram Jaccard join"]
+    found = ngram_join.similar_components(id_and_text(before), ngram_join.Similarity()).collect()
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in found})
+    before, kept = after["benchmark decontamination"]
+    hits = decontamination.contaminated(id_and_text(before), spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).collect()
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in before.collect()} - {r.doc_id for r in hits}
+    _, encoded = after["byte-level BPE"]
+    assert encoded.filter("NOT round_trip OR n_tokens <> size(token_ids)").count() == 0 and encoded.count() == kept.count()
+    assert language_id.UNKNOWN == "und"
