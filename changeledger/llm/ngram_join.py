@@ -2,14 +2,16 @@
 
 All n-grams have one global order, which is cut into fragments; what a set has in one fragment is a
 segment. The overlap of a candidate pair is counted in each fragment by itself, and the counts are
-summed per pair. Candidates are found without loss in one of two ways:
-
-* High thresholds: sets that link differ in few n-grams. With more fragments than that number some
-  segments are equal in both, so sets that share a whole segment are the candidates.
-* Lower thresholds, where such segments would hold hardly an n-gram: linked sets share one of the
-  first n-grams of the global order. The order has rare n-grams first, so that texts that only share
-  a passage do not become candidates. Which n-grams are common is learned from a sample; any order
-  gives the same links.
+summed per pair.
+
+Candidates are found without loss. Linked sets share one of the first n-grams of the global order
+(the prefix). The order begins with the n-grams that only one set of all has: those are never
+shared, so they need no partner, and a text with enough of them has none. Each chunk of documents
+sends its sorted distinct n-grams once, packed, to learn which are repeated elsewhere. Among the
+repeated ones those that a sample shows to be common come last; any such order gives the same links.
+Two numbers bound how alike two sets can be before they are compared: the n-grams that only one of
+them has at all, and the bits in which small parity sketches of their repeated n-grams differ (an
+n-gram that one of them lacks flips one bit). Both never exceed the true difference.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
@@ -29,9 +31,13 @@ from changeledger.operators.broadcasting import broadcast_if_small
 
 from .batches import grouped, id_and_text, stored, with_row
 from .components import components
+from .hashing import mixed
+from .sorted_runs import RUNS, merge_runs, names_bits, repeated_names, rows_of, sorted_runs, texts_of, with_answers, written_chunks
 
-#: Sets whose sizes are in one class are cut alike; a class ends at this times its start.
-_CLASS_RATIO = 1.5
+#: 64-bit words of a parity sketch.
+SKETCH_WORDS = 8
+#: Bytes of text whose n-grams one merging task holds, about.
+_BYTES_PER_RANGE = 16 << 20
 #: Fragments in which the overlap of a pair is counted.
 COUNT_FRAGMENTS = 16
 #: Expected number of distinct texts in the sample; an n-gram that so many of them have is common.
@@ -39,8 +45,6 @@ SAMPLE_TEXTS = 16_000
 COMMON_TEXTS = 3
 #: Bound of the common n-grams; the most frequent are taken.
 MAX_COMMON = 200_000
-#: Segments are used if sets of this many n-grams still link when one of them differs.
-_SEGMENT_GRAMS = 8
 
 
 @dataclass(frozen=True)
@@ -51,25 +55,13 @@ class Similarity:
     least: int = 80
     scale: int = 100
 
-    def most_different(self, smaller: int) -> int:
-        """In how many n-grams two linked sets can differ, given the size of the smaller one."""
-        return smaller * (self.scale - self.least) // self.least
-
-    @property
-    def by_segments(self) -> bool:
-        return self.least >= _SEGMENT_GRAMS * (self.scale - self.least)
-
     def prefix(self, size: int) -> int:
         """How many of the first n-grams of two linked sets include a common one."""
         return size - -(-size * self.least // self.scale) + 1
 
-
-def mixed(values: np.ndarray) -> np.ndarray:
-    """A fixed permutation of 64-bit numbers that spreads them evenly."""
-    with np.errstate(over="ignore"):
-        values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return values ^ (values >> np.uint64(31))
+    def possible(self, sizes: Column, difference: Column) -> Column:
+        """Whether two sets can link, from the sum of their sizes and a number they differ in at least."""
+        return difference * (self.scale + self.least) <= sizes * (self.scale - self.least)
 
 
 class Shingler:
@@ -115,55 +107,12 @@ class Common:
         return np.where(self.grams[at] == grams, self.texts[at], 0)
 
 
-class Marker:
-    """Marks of sets: linked sets that are not equal share one at least."""
-
-    def __init__(self, similarity: Similarity, common: Common) -> None:
-        self.similarity, self.common = similarity, common
-        self._starts = [1]
-        while self._starts[-1] < 1 << 40:
-            self._starts.append(max(self._starts[-1] + 1, int(self._starts[-1] * _CLASS_RATIO)))
-
-    def marks(self, grams: np.ndarray) -> np.ndarray:
-        if not self.similarity.by_segments:
-            order = np.lexsort((grams, self.common.counts(grams)))
-            return grams[order[: self.similarity.prefix(len(grams))]]
-        # Those of the set's own size class, and of the next if a linked set can be that large.
-        own = int(np.searchsorted(self._starts, len(grams), side="right")) - 1
-        reaches = len(grams) * self.similarity.scale >= self._starts[own + 1] * self.similarity.least
-        return np.concatenate([self._of_class(grams, size_class) for size_class in (own, own + 1)[: 1 + reaches]])
-
-    def _of_class(self, grams: np.ndarray, size_class: int) -> np.ndarray:
-        """With two fragments more than n-grams in which linked sets differ, two segments are equal.
-
-        They may be empty in both sets only if both have two empty ones; only then are those marks.
-        """
-        differing = self.similarity.most_different(self._starts[size_class + 1] - 1)
-        if not differing:
-            return np.zeros(0, np.uint64)  # linked sets of this size are equal
-        sizes, marks = self._cut(grams, differing + 2, size_class)
-        return marks if (sizes == 0).sum() >= 2 else marks[sizes > 0]
-
-    @staticmethod
-    def _cut(grams: np.ndarray, fragments: int, size_class: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sizes and marks of the segments."""
-        fragment = (grams >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
-        ends = np.searchsorted(fragment, np.arange(fragments + 1))
-        sizes = np.diff(ends)
-        with np.errstate(over="ignore"):
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(grams + np.uint64(1)), dtype=np.uint64)])
-            content = sums[ends[1:]] - sums[ends[:-1]]
-            return sizes, mixed(mixed(content + sizes.astype(np.uint64)) + np.arange(fragments, dtype=np.uint64) * np.uint64(1024) + np.uint64(size_class))
-
-
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
 def common_grams(documents: DataFrame, similarity: Similarity) -> Common:
     """N-grams that several distinct texts of a sample have; at most MAX_COMMON."""
-    if similarity.by_segments:
-        return Common(np.zeros(0, np.uint64), np.zeros(0, np.int64))
     total = documents.count()
     share = int((1 << 30) * min(1.0, SAMPLE_TEXTS / max(1, total)))
     sample = documents.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share).dropDuplicates(["text"])
@@ -188,39 +137,83 @@ def _set_key(grams: np.ndarray) -> int | None:
     return int(_signed(mixed(np.add.reduce(mixed(grams ^ np.uint64(0x5851F42D4C957F2D)), keepdims=True)))[0])
 
 
-def describe(documents: DataFrame, similarity: Similarity) -> DataFrame:
-    """(doc_id, n_shingles, set_key) of every row of (doc_id, binary text)."""
-    schema = StructType([StructField("doc_id", LongType()), StructField("n_shingles", LongType(), False), StructField("set_key", LongType())])
+def marks_of(grams: np.ndarray, repeated: np.ndarray, common: Common, similarity: Similarity) -> np.ndarray:
+    """The repeated n-grams of a set's prefix: linked sets that are not equal share one."""
+    rest = grams[repeated]
+    order = np.lexsort((rest, common.counts(rest)))
+    return rest[order[: max(0, similarity.prefix(len(grams)) - (len(grams) - len(rest)))]]
 
-    def describe_batches(batches: Iterable[pa.RecordBatch]):
-        shingler = Shingler(similarity.words)
-        for batch in grouped(batches):
-            sets = [shingler.grams(text) for text in batch.column("text").to_pylist()]
-            columns = [batch.column("doc_id"), pa.array([len(own) for own in sets], pa.int64()), pa.array([_set_key(own) for own in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return documents.select("doc_id", "text").mapInArrow(describe_batches, schema)
+def sketch(repeated: np.ndarray) -> np.ndarray:
+    """For each bit whether an odd number of the n-grams falls on it."""
+    size = 64 * SKETCH_WORDS
+    odd = np.bincount((repeated & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def set_marks(documents: DataFrame, similarity: Similarity, common: Common) -> DataFrame:
-    """(mark, set_key) of every set; a task gives those of equal sets once."""
-    schema = StructType([StructField("mark", LongType()), StructField("set_key", LongType())])
+def _distinct_sets(texts: list[bytes], shingler: Shingler) -> tuple[list[int | None], list[int], dict[int, np.ndarray]]:
+    """Key and size of each text's set, and the sets by key."""
+    keys, sizes, sets = [], [], {}
+    for text in texts:
+        grams = shingler.grams(text)
+        key = _set_key(grams)
+        keys.append(key)
+        sizes.append(len(grams))
+        if key is not None:
+            sets[key] = grams
+    return keys, sizes, sets
 
-    def mark_batches(batches: Iterable[pa.RecordBatch]):
-        shingler, marker = Shingler(similarity.words), Marker(similarity, common)
-        seen: set[int] = set()
-        for batch in grouped(batches):
-            marks, keys = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for text in batch.column("text").to_pylist():
-                grams = shingler.grams(text)
-                key = _set_key(grams)
-                if key is not None and key not in seen:
-                    seen.add(key)
-                    marks.append(marker.marks(grams))
-                    keys.append(np.full(len(marks[-1]), key))
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(marks))), pa.array(np.concatenate(keys), pa.int64())], names=schema.names)
 
-    return documents.select("text").mapInArrow(mark_batches, schema)
+_DESCRIBED = StructType(
+    [StructField("doc_id", LongType()), StructField("n_shingles", LongType(), False), StructField("set_key", LongType()), StructField("own", LongType(), False), StructField("sketch", ArrayType(LongType(), False), False), StructField("marks", ArrayType(LongType(), False), False)]
+)
+
+
+def describe(documents: DataFrame, similarity: Similarity) -> DataFrame:
+    """Per row of (doc_id, binary text): size and key of its set, how many n-grams no other has, sketch, marks.
+
+    The key is null for an empty set. Of rows with one set in one chunk only the last has sketch and marks.
+    Copies in different chunks count as sets that repeat each other: fewer n-grams are then their own,
+    which loses no candidate.
+    """
+    chunks = written_chunks(documents)
+    total = chunks.agg(F.sum(F.length("data"))).first()[0] or 0
+    parts = int(total / _BYTES_PER_RANGE) + 1
+    bits = names_bits(total)
+    common = common_grams(documents, similarity)
+    mask = ~np.uint64((1 << (64 - bits)) - 1)
+
+    def names_of(sets: dict[int, np.ndarray]) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint64), *sets.values()]) & mask
+
+    def list_names(batches: Iterable[pa.RecordBatch]):
+        shingler = Shingler(similarity.words)
+        for row in rows_of(batches):
+            yield sorted_runs(row["chunk"], names_of(_distinct_sets(texts_of(row), shingler)[2]), parts)
+
+    repeated = stored(merge_runs(chunks.mapInArrow(list_names, RUNS), parts), "ngram-repeats")
+
+    def describe_chunks(batches: Iterable[pa.RecordBatch]):
+        shingler = Shingler(similarity.words)
+        for row in rows_of(batches):
+            keys, sizes, sets = _distinct_sets(texts_of(row), shingler)
+            known = repeated_names(row["answers_0"], names_of(sets), parts)
+            ends = np.cumsum([len(own) for own in sets.values()])
+            own, sketches, marks = {}, {}, {}
+            for (key, grams), end in zip(sets.items(), ends.tolist(), strict=True):
+                flags = known[end - len(grams) : end]
+                own[key] = len(grams) - int(flags.sum())
+                sketches[key] = sketch(grams[flags])
+                marks[key] = marks_of(grams, flags, common, similarity)
+            listed = [marks.pop(key, np.zeros(0, np.uint64)) for key in reversed(keys)][::-1]
+            offsets = pa.array(np.cumsum([0, *map(len, listed)]), pa.int32())
+            columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array([own.get(key, 0) for key in keys], pa.int64())]
+            last = {key: i for i, key in enumerate(keys)}
+            columns.append(pa.array([sketches[key] if key is not None and last[key] == i else [] for i, key in enumerate(keys)], pa.list_(pa.int64())))
+            columns.append(pa.ListArray.from_arrays(offsets, pa.array(_signed(np.concatenate([np.zeros(0, np.uint64), *listed])))))
+            yield pa.RecordBatch.from_arrays(columns, names=_DESCRIBED.names)
+
+    return with_answers(chunks, repeated).mapInArrow(describe_chunks, _DESCRIBED)
 
 
 def _segments(documents: DataFrame, wanted: DataFrame, similarity: Similarity) -> DataFrame:
@@ -234,12 +227,14 @@ def _segments(documents: DataFrame, wanted: DataFrame, similarity: Similarity) -
             keys, sizes, segments = [], [], []
             for key, text in zip(batch.column("set_key").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 grams = shingler.grams(text)
+                if _set_key(grams) != key:
+                    continue  # another text under the same id
                 keys += [key] * COUNT_FRAGMENTS
                 sizes += [len(grams)] * COUNT_FRAGMENTS
                 segments += np.split(grams, np.searchsorted(grams, cuts))
             offsets = pa.array(np.cumsum([0, *map(len, segments)]), pa.int32())
             values = pa.array(_signed(np.concatenate(segments))) if segments else pa.array([], pa.int64())
-            fragments = pa.array(list(range(COUNT_FRAGMENTS)) * batch.num_rows, pa.int32())
+            fragments = pa.array(list(range(COUNT_FRAGMENTS)) * (len(keys) // COUNT_FRAGMENTS), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), fragments, pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, values)], names=schema.names)
 
     chosen = documents.select("doc_id", "text").join(broadcast_if_small(wanted), "doc_id").select("set_key", "text")
@@ -257,33 +252,50 @@ def linked_pairs(pairs: DataFrame, segments: DataFrame, similarity: Similarity)
     return summed.filter(F.col("both") * similarity.scale >= F.col("union") * similarity.least).select("a", "b")
 
 
+def _pair(one: str, other: str) -> Column:
+    """The keys of two sets, the smaller first."""
+    return F.struct(F.least(f"{one}.set_key", f"{other}.set_key").alias("a"), F.greatest(f"{one}.set_key", f"{other}.set_key").alias("b")).alias("pair")
+
+
+def _can_link(one: str, other: str, similarity: Similarity) -> Column:
+    both = lambda name: F.col(f"{one}.{name}") + F.col(f"{other}.{name}")
+    flipped = [F.bit_count(F.col(f"{one}.sketch")[i].bitwiseXOR(F.col(f"{other}.sketch")[i])) for i in range(SKETCH_WORDS)]
+    return similarity.possible(both("n_shingles"), sum(flipped, both("own")))
+
+
 def similar_components(documents: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """Per row of (doc_id, binary text): n_shingles and component_id.
 
     component_id is the smallest doc_id that is reachable by links, the row's own included; a text
     that is null, empty or without words links with nothing. Rows of equal sets are one class, so
-    copies are never expanded into pairs. In a group of sets that share a segment each is first
+    copies are never expanded into pairs. In a group of sets that share a mark each is first
     compared with one of them; only sets that are in different components after that are compared
-    with each other. A null doc_id takes part; its component_id is the smallest that is not null.
+    with each other. A row whose doc_id is null links through rows of an equal set that have one; its
+    component_id is then theirs, else null. Different texts under one doc_id are different documents.
     """
-    sets = stored(describe(documents, similarity), "ngram-sets")
+    described = stored(describe(documents, similarity), "ngram-sets")
+    sets = described.select("doc_id", "n_shingles", "set_key")
     classes = sets.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
 
-    marks = set_marks(documents, similarity, common_grams(documents, similarity))
-    grouped_marks = marks.withColumn("head", F.min("set_key").over(Window.partitionBy("mark"))).withColumn("last", F.max("set_key").over(Window.partitionBy("mark")))
-    shared = stored(grouped_marks.filter("head < last").select("mark", "set_key", "head"), "ngram-marks")
+    # The head of a mark is the set with the fewest n-grams of its own: it is the likeliest to link.
+    marks = described.select(F.struct("own", "set_key", "n_shingles", "sketch").alias("set"), F.explode("marks").alias("mark"))
+    group = Window.partitionBy("mark")
+    headed = marks.withColumns({"head": F.min("set").over(group), "last": F.max("set").over(group)}).filter(F.col("head.set_key") != F.col("last.set_key"))
+    shared = stored(headed.select("mark", "set", "head"), "ngram-marks")
 
-    first_pairs = shared.filter("set_key <> head").select(F.col("head").alias("a"), F.col("set_key").alias("b")).distinct()
+    to_head = shared.filter((F.col("set.set_key") != F.col("head.set_key")) & _can_link("set", "head", similarity))
+    first_pairs = stored(to_head.select(_pair("set", "head")).select("pair.*").distinct(), "ngram-pairs")
+    shared = shared.select("mark", F.col("set.set_key").alias("set_key"), "set")
     wanted = shared.select("set_key").distinct().join(classes, "set_key").select("set_key", F.col("first_id").alias("doc_id"))
     segments = stored(_segments(documents, wanted, similarity).dropDuplicates(["set_key", "fragment"]), "ngram-segments")
     first_links = stored(linked_pairs(first_pairs, segments, similarity), "ngram-links")
     roots = components(first_links)
 
-    placed = shared.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").select("mark", "set_key", F.coalesce("root", "set_key").alias("root"))
+    placed = shared.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left").select("mark", "set", F.coalesce("root", "set_key").alias("root"))
     split = placed.groupBy("mark").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most").select("mark")
     apart = stored(placed.join(split, "mark"), "ngram-apart")
-    one, other = apart.select("mark", F.col("set_key").alias("x"), F.col("root").alias("root_x")), apart.select("mark", F.col("set_key").alias("y"), F.col("root").alias("root_y"))
-    across = one.join(other, "mark").filter("root_x < root_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    one, other = apart.select("mark", F.col("set").alias("x"), F.col("root").alias("root_x")), apart.select("mark", F.col("set").alias("y"), F.col("root").alias("root_y"))
+    across = one.join(other, (one["mark"] == other["mark"]) & (F.col("root_x") < F.col("root_y")) & _can_link("x", "y", similarity)).select(_pair("x", "y")).select("pair.*").distinct()
     second_links = stored(linked_pairs(across.join(first_pairs, ["a", "b"], "left_anti"), segments, similarity), "ngram-links")
 
     final = components(first_links.unionByName(second_links)).withColumnRenamed("node", "set_key")

@@ -22,28 +22,21 @@ sample, the merging and the comparison of neighbours are those of the suffix sor
 from __future__ import annotations
 
 import hashlib
-import math
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from changeledger.session import scratch_dir
-
-from .batches import grouped, stored
-from .ngram_join import mixed
+from .batches import stored
+from .hashing import mixed
+from .sorted_runs import RUNS, merge_runs, names_bits, repeated_names, rows_of, sorted_runs, with_answers, written_chunks
 
 WINDOW_BYTES = 200
-#: Documents are kept together until a chunk has this many bytes.
-CHUNK_BYTES = 4 << 20
 #: Names that one merging task holds at a time, about.
 NAMES_PER_RANGE = 4_000_000
-#: Answers of this many bytes at most are sent to all executors; more are joined by chunk.
-BROADCAST_BYTES = 64 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLICE = 1 << 17
@@ -162,98 +155,6 @@ class Chunk:
             yield length, removed, spans, self.data[start : start + length][~own].tobytes()
 
 
-def pack(names: np.ndarray) -> bytes:
-    """Sorted distinct names as the bytes of their differences, planes of equal significance together."""
-    steps = np.diff(names, prepend=np.uint64(0))
-    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
-
-
-def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
-_CHUNKS = StructType([StructField("chunk", LongType(), False), StructField("doc_ids", ArrayType(LongType()), False), StructField("lengths", ArrayType(LongType(), False), False), StructField("data", BinaryType(), False)])
-_RUNS = StructType([StructField("chunk", LongType()), StructField("part", IntegerType()), StructField("own", BinaryType()), StructField("names", BinaryType())])
-_ANSWERS = StructType([StructField("chunk", LongType()), StructField("part", IntegerType()), StructField("bits", BinaryType()), StructField("n", LongType())])
-
-
-def _chunks(documents: DataFrame) -> DataFrame:
-    """Documents as chunks; a chunk's number is that of its partition and its place there."""
-
-    def lay(batches: Iterable[pa.RecordBatch]):
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 32
-        for batch in grouped(batches, CHUNK_BYTES):
-            texts = [text or b"" for text in batch.column("text").to_pylist()]
-            columns = [
-                pa.array([number], pa.int64()),
-                pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
-                pa.array([b"".join(texts)], pa.binary()),
-            ]
-            number += 1
-            yield pa.RecordBatch.from_arrays(columns, names=_CHUNKS.names)
-
-    return documents.select("doc_id", "text").mapInArrow(lay, _CHUNKS)
-
-
-def _runs(chunk: int, names: np.ndarray, parts: int) -> pa.RecordBatch:
-    """The chunk's distinct names by range, and which of them it has more than once."""
-    distinct, counts = np.unique(names, return_counts=True)
-    edges = np.searchsorted((distinct >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
-    rows = [(p, np.packbits(counts[a:b] > 1).tobytes(), pack(distinct[a:b])) for p, a, b in zip(range(parts), edges[:-1].tolist(), edges[1:].tolist(), strict=True) if a < b]
-    numbers, own, packed = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array([chunk] * len(rows), pa.int64()), pa.array(numbers, pa.int32()), pa.array(own, pa.binary()), pa.array(packed, pa.binary())], names=_RUNS.names)
-
-
-def _known(answers: list[dict] | None, names: np.ndarray, parts: int) -> np.ndarray:
-    """Whether each of a chunk's names is repeated, from the answers of the ranges."""
-    distinct, back = np.unique(names, return_inverse=True)
-    edges = np.searchsorted((distinct >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
-    bits = np.zeros(len(distinct), bool)
-    for answer in answers or ():
-        a, b = edges[answer["part"]], edges[answer["part"] + 1]
-        bits[a:b] = np.unpackbits(np.frombuffer(zlib.decompress(answer["bits"]), np.uint8), count=b - a).astype(bool)
-    return bits[back]
-
-
-def _merge(runs: DataFrame, parts: int) -> DataFrame:
-    """Merge the sorted runs of each range and tell every chunk which of its names are repeated."""
-
-    def merge(key, table):  # no annotations: Spark would read them
-        names = [unpack(run) for run in table.column("names").to_pylist()]
-        merged = np.concatenate(names)
-        order = np.argsort(merged, kind="stable")
-        ranked = merged[order]
-        same = ranked[1:] == ranked[:-1]
-        repeated = np.zeros(len(ranked), bool)
-        repeated[order[1:][same]] = True
-        repeated[order[:-1][same]] = True
-        bits, ones, at = [], [], 0
-        for own, run in zip(table.column("own").to_pylist(), names, strict=True):
-            inside = np.unpackbits(np.frombuffer(own, np.uint8), count=len(run)).astype(bool)
-            inside |= repeated[at : at + len(run)]
-            bits.append(zlib.compress(np.packbits(inside).tobytes(), 1))
-            ones.append(int(inside.sum()))
-            at += len(run)
-        return pa.table([table.column("chunk"), table.column("part"), pa.array(bits, pa.binary()), pa.array(ones, pa.int64())], names=_ANSWERS.names)
-
-    return runs.repartition(parts, "part").groupBy("part").applyInArrow(merge, _ANSWERS)
-
-
-def _with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
-    """Each chunk with the answers it got; few bytes are broadcast, more joined by shuffling the chunks."""
-    out = chunks
-    for position, frame in enumerate(answers):
-        per_chunk = frame.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias(f"answers_{position}"))
-        total = frame.agg(F.sum(F.length("bits") + 32)).first()[0] or 0
-        side = F.broadcast(per_chunk) if total <= BROADCAST_BYTES else per_chunk.hint("shuffle_hash")
-        out = out.join(side, "chunk", "left")
-    return out
-
-
 _RESULT = StructType(
     [StructField("doc_id", LongType()), StructField("n_bytes", LongType(), False), StructField("n_removed", LongType(), False), StructField("n_spans", LongType(), False), StructField("kept_sha256", StringType(), False), StructField("kept", BinaryType(), False)]
 )
@@ -267,20 +168,19 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW_BYTES) -> DataFram
     shorter than the window keep all. Repeated rows are copies of each other and lose all that lies
     in a window. Other columns are not carried.
     """
-    chunks = _written(_chunks(documents))
+    chunks = written_chunks(documents)
     total = chunks.agg(F.sum(F.length("data"))).first()[0] or 0
     period, cover = difference_cover(window * 3 // 4)
     sampled = total * len(cover) / period
     sample_parts = int(sampled / NAMES_PER_RANGE) + 1
-    # One name in some thousands is then taken for another's.
-    bits = min(64, max(40, 8 * math.ceil((math.log2(sampled + 1) + 12) / 8)))
+    bits = names_bits(sampled)
 
     def sample(batches: Iterable[pa.RecordBatch]):
-        for row in _rows(batches):
+        for row in rows_of(batches):
             _, names = Chunk(row["data"], row["lengths"], window).sampled(bits)
-            yield _runs(row["chunk"], names, sample_parts)
+            yield sorted_runs(row["chunk"], names, sample_parts)
 
-    repeated_tuples = stored(_merge(chunks.mapInArrow(sample, _RUNS), sample_parts), "repeats")
+    repeated_tuples = stored(merge_runs(chunks.mapInArrow(sample, RUNS), sample_parts), "repeats")
     # Within a repeated stretch all its sampled tuples are repeated; at its ends one opens a whole period.
     opened = min(total, (repeated_tuples.agg(F.sum("n")).first()[0] or 0) * period / len(cover) * 2)
     window_parts = int(opened / NAMES_PER_RANGE) + 1
@@ -288,38 +188,22 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW_BYTES) -> DataFram
     def doubtful(row: dict) -> tuple[Chunk, np.ndarray, np.ndarray]:
         chunk = Chunk(row["data"], row["lengths"], window)
         places, names = chunk.sampled(bits)
-        open_ = chunk.in_doubt(places[_known(row["answers_0"], names, sample_parts)])
+        open_ = chunk.in_doubt(places[repeated_names(row["answers_0"], names, sample_parts)])
         return chunk, open_, chunk.windows(open_)
 
     def full(batches: Iterable[pa.RecordBatch]):
-        for row in _rows(batches):
-            yield _runs(row["chunk"], doubtful(row)[2], window_parts)
+        for row in rows_of(batches):
+            yield sorted_runs(row["chunk"], doubtful(row)[2], window_parts)
 
-    repeated_windows = stored(_merge(_with_answers(chunks, repeated_tuples).mapInArrow(full, _RUNS), window_parts), "repeats")
+    repeated_windows = stored(merge_runs(with_answers(chunks, repeated_tuples).mapInArrow(full, RUNS), window_parts), "repeats")
 
     def finish(batches: Iterable[pa.RecordBatch]):
-        for row in _rows(batches):
+        for row in rows_of(batches):
             chunk, open_, names = doubtful(row)
-            rows = list(chunk.results(open_[_known(row["answers_1"], names, window_parts)]))
+            rows = list(chunk.results(open_[repeated_names(row["answers_1"], names, window_parts)]))
             sizes, removed, spans, kept = zip(*rows, strict=True) if rows else ((), (), (), ())
             hashes = [hashlib.sha256(k).hexdigest() for k in kept]
             columns = [pa.array(row["doc_ids"], pa.int64()), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans)), pa.array(hashes, pa.string()), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=_RESULT.names)
 
-    return _with_answers(chunks, repeated_tuples, repeated_windows).mapInArrow(finish, _RESULT)
-
-
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    """Chunks one by one, however many a batch has."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
-
-
-def _written(chunks: DataFrame) -> DataFrame:
-    """Write the chunks once, in the shared scratch folder; every pass reads them from there, few at a time."""
-    spark = chunks.sparkSession
-    path = scratch_dir(spark, "chunks")
-    chunks.write.option("compression", "zstd").parquet(path)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    return spark.read.schema(_CHUNKS).parquet(path)
+    return with_answers(chunks, repeated_tuples, repeated_windows).mapInArrow(finish, _RESULT)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from changeledger.llm import neighbours, ngram_join, suffix_dedup
+from changeledger.llm import neighbours, ngram_join, sorted_runs, suffix_dedup
 from changeledger.llm.batches import id_and_text, small_batches
 from changeledger.llm.components import components
 
@@ -54,9 +54,9 @@ def test_repeats_equal_brute_force(spark, window, alphabet):
 
 
 def test_repeats_across_many_chunks_and_ranges(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 1_000)
+    monkeypatch.setattr(sorted_runs, "CHUNK_BYTES", 1_000)
     monkeypatch.setattr(suffix_dedup, "NAMES_PER_RANGE", 50)
-    monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(sorted_runs, "BROADCAST_BYTES", 0)
     rows = mixed_texts(9, "abcdefgh", 120)
     frame = id_and_text(documents(spark, rows)).repartition(5)
     got = suffix_dedup.remove_repeats(frame, 50).collect()
@@ -79,7 +79,7 @@ def test_difference_covers(largest):
 
 def test_packed_names_come_back():
     names = np.unique(np.random.RandomState(1).randint(0, 1 << 62, 5_000).astype(np.uint64) << np.uint64(1))
-    assert (suffix_dedup.unpack(suffix_dedup.pack(names)) == names).all()
+    assert (sorted_runs.unpack(sorted_runs.pack(names)) == names).all()
 
 
 def plain_grams(text, words):
@@ -155,6 +155,14 @@ def test_join_with_a_sampled_order(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == plain_components(rows, similarity)
 
 
+def test_one_id_for_several_texts(spark):
+    """Texts are told apart by what they say, not by their id."""
+    base, else_ = [f"w{i}" for i in range(80)], [f"v{i}" for i in range(80)]
+    rows = [(1, " ".join(base)), (1, " ".join(else_)), (2, " ".join(base[1:])), (3, " ".join(else_[:-1])), (4, "alone here")]
+    got = ngram_join.similar_components(id_and_text(documents(spark, rows)), ngram_join.Similarity(5, 80)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
 def test_first_of_similar_stays(spark):
     base = " ".join(f"w{i}" for i in range(60))
     rows = [(5, base), (3, base + " more"), (9, "other words here now fine"), (9, "other words here now fine"), (None, base), (7, None), (8, "")]
@@ -163,21 +171,32 @@ def test_first_of_similar_stays(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [3, 7, 8, 9]
 
 
-def test_every_linked_pair_shares_a_mark():
-    """Without loss for sets at the threshold, in both ways of marking."""
+@pytest.mark.parametrize("similarity", [ngram_join.Similarity(3, 90), ngram_join.Similarity(5, 80), ngram_join.Similarity(1, 50)])
+def test_linked_sets_share_a_mark(similarity):
+    """Without loss at the threshold, whatever is common and whatever else repeats an n-gram."""
     random_ = np.random.RandomState(2)
-    for similarity in (ngram_join.Similarity(3, 90), ngram_join.Similarity(5, 80)):
-        marker = ngram_join.Marker(similarity, ngram_join.Common(np.zeros(0, np.uint64), np.zeros(0, np.int64)))
-        for size in (10, 11, 19, 20, 37, 100, 1_000, 4_000):
-            for _ in range(20):
-                grams = np.unique(random_.randint(0, 1 << 62, size).astype(np.uint64) << np.uint64(2))
-                off = similarity.most_different(len(grams))
-                fewer = np.sort(random_.permutation(grams)[: len(grams) - (len(grams) * (similarity.scale - similarity.least)) // similarity.scale])
-                swapped = np.unique(np.concatenate([random_.permutation(grams)[off // 2 :], random_.randint(0, 1 << 62, off // 2).astype(np.uint64)]))
-                for other in (fewer, swapped):
-                    both = len(np.intersect1d(grams, other))
-                    if both * similarity.scale >= similarity.least * (len(grams) + len(other) - both) and both < len(grams):
-                        assert np.intersect1d(marker.marks(grams), marker.marks(other)).size
+    fresh = lambda n: np.unique(random_.randint(0, 1 << 62, n).astype(np.uint64))
+    linked = 0
+    for size in (10, 11, 19, 20, 37, 100, 1_000):
+        for _ in range(60):
+            one = fresh(size)
+            off = random_.randint(0, max(2, size * (similarity.scale - similarity.least) // similarity.scale + 1))
+            other = np.unique(np.concatenate([random_.permutation(one)[off:], fresh(random_.randint(0, off + 1))]))
+            both = np.intersect1d(one, other)
+            if len(both) * similarity.scale < similarity.least * (len(one) + len(other) - len(both)) or len(both) == len(one) == len(other):
+                continue
+            linked += 1
+            known = np.union1d(both, random_.permutation(np.union1d(one, other))[: size // 5])
+            frequent = np.sort(random_.permutation(both)[: size // 3])
+            common = ngram_join.Common(frequent, random_.randint(3, 9, len(frequent)))
+            marks = [ngram_join.marks_of(own, np.isin(own, known), common, similarity) for own in (one, other)]
+            assert np.intersect1d(*marks).size
+            own = sum(int((~np.isin(x, known)).sum()) for x in (one, other))
+            flipped = ngram_join.sketch(one[np.isin(one, known)]) ^ ngram_join.sketch(other[np.isin(other, known)])
+            own += int(np.bitwise_count(flipped.view(np.uint64)).sum())
+            assert own <= len(one) + len(other) - 2 * len(both)
+            assert own * (similarity.scale + similarity.least) <= (len(one) + len(other)) * (similarity.scale - similarity.least)
+    assert linked > 100
 
 
 def test_components(spark):
