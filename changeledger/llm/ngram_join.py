@@ -76,7 +76,7 @@ class Shingler:
         if not words:
             return np.zeros(0, np.uint64)
         known = self._hash
-        if len(known) > 1_000_000:
+        if len(known) > 200_000:
             known.clear()
         try:
             hashes = np.array([known[w] for w in words], np.uint64)
