@@ -26,32 +26,42 @@ def _line_key(line: Column) -> Column:
     return F.unhex(F.md5(F.trim(line)))
 
 
-def boilerplate_lines(pages: DataFrame, site_column: str, text_column: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def _one_page_per_text(pages: DataFrame) -> DataFrame:
+    """(site, keys) with one row for all pages of a site whose non-blank lines are the same."""
+    same = F.unhex(F.md5(F.array_join(F.transform("_lines", _line_key), "")))
+    return pages.groupBy("_site", same.alias("_same")).agg(F.first("_keys").alias("_keys")).select("_site", "_keys")
+
+
+def boilerplate_lines(pages: DataFrame, site_column: str, text_column: str, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False) -> DataFrame:
     """(site, line keys) of the lines that exceed the ratio, one row per site that has any.
 
-    A page counts once for a line, however often it has it. A site has at most its mean number of
+    A page counts once for a line, however often it has it. With `distinct_texts` copies of one page
+    count as one page, for the line and for the site: else enough copies make boilerplate of all
+    their lines. A site has at most its mean number of
     lines per page, divided by the ratio, of such lines, so the array of one site stays short. Lines
     are hashed before the shuffle and counted map-side, so a site with most of the pages is spread
     over the keys of its lines.
     """
-    site = F.col(site_column).alias("_site")
     lines = F.filter(F.split(F.col(text_column), "\n"), lambda line: F.trim(line) != "")
-    keys = F.array_distinct(F.transform(lines, _line_key))
-    counted = pages.select(site, F.explode(keys).alias("_key")).groupBy("_site", "_key").agg(F.count("*").alias("_pages"))
-    totals = pages.groupBy(site).agg(F.count("*").alias("_total")).withColumnRenamed("_site", "_of")
+    keys = F.array_distinct(F.transform(lines, _line_key)).alias("_keys")
+    site = F.col(site_column).alias("_site")
+    counting = _one_page_per_text(pages.select(site, lines.alias("_lines"), keys)) if distinct_texts else pages.select(site, keys)
+    counted = counting.select("_site", F.explode("_keys").alias("_key")).groupBy("_site", "_key").agg(F.count("*").alias("_pages"))
+    totals = counting.groupBy("_site").agg(F.count("*").alias("_total")).withColumnRenamed("_site", "_of")
     frequent = counted.filter(F.col("_pages") >= min_pages).join(totals, F.col("_site").eqNullSafe(F.col("_of")))
     above = frequent.filter(F.col("_pages") > F.lit(max_ratio) * F.col("_total"))
     return above.groupBy("_site").agg(F.collect_set("_key").alias("_keys"))
 
 
-def drop_boilerplate(pages: DataFrame, site_column: str = "source", text_column: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, site_column: str = "source", text_column: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False) -> DataFrame:
     """Remove the boilerplate lines of each page's own site; adds `n_lines` and `n_dropped`.
 
     Every page stays, with what is left of its text: an empty text if all lines went. Blank lines
     are never dropped. A null text stays null with 0 lines; pages without a site are one site of
-    their own. Columns already named `n_lines` or `n_dropped` are replaced.
+    their own. With `distinct_texts` a line counts once for all copies of a page. Columns already named
+    `n_lines` or `n_dropped` are replaced.
     """
-    site_keys = broadcast_if_small(boilerplate_lines(pages, site_column, text_column, max_ratio, min_pages))
+    site_keys = broadcast_if_small(boilerplate_lines(pages, site_column, text_column, max_ratio, min_pages, distinct_texts))
     lines = F.split("text", "\n")
     joined = with_row(pages, site=F.col(site_column), text=F.col(text_column)).join(site_keys, F.col("site").eqNullSafe(F.col("_site")), "left")
     kept = F.when(F.col("_keys").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains("_keys", _line_key(line)) | (F.trim(line) == "")))

@@ -12,6 +12,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from changeledger.llm import bpe, decontamination, language_id, line_dedup
 from changeledger.llm.batches import id_and_text
 from changeledger.llm.pieces import TRIE_BYTES
@@ -189,6 +190,30 @@ def test_line_dedup_equals_the_plain_version(spark):
     assert sorted((tuple(r) for r in got), key=repr) == plain_boilerplate(pages, 0.1, 3)
 
 
+def copies_and_others(spark):
+    """A third of a source are copies of one text, some with other blanks; every text has the same menu line."""
+    copy = "\n".join(["menu", *(f"copied line {k} of the one text" for k in range(8))])
+    rows = [(i, copy + "\n" * (i % 2)) for i in range(40)]
+    rows += [(100 + i, "menu\n" + " ".join(f"own{i}word{k}" for k in range(12))) for i in range(80)]
+    frame = spark.createDataFrame([(i, text, "en", "s", len(text)) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return frame, copy
+
+
+def test_copies_of_a_page_count_once(spark):
+    frame, copy = copies_and_others(spark)
+    kept = line_dedup.drop_boilerplate(frame, distinct_texts=True)
+    texts = {r.doc_id: (r.text, r.n_dropped) for r in kept.collect()}
+    assert texts[0] == (copy.removeprefix("menu\n"), 1) and texts[100][0].startswith("own0word0 ") and texts[100][1] == 1
+    assert {r.n_dropped for r in line_dedup.drop_boilerplate(frame).filter("doc_id < 40").collect()} == {9}
+
+
+def test_pipeline_keeps_one_of_many_copies(spark):
+    frame, copy = copies_and_others(spark)
+    kept = corpus_pipeline.keep_one_of_similar(spark, corpus_pipeline.drop_boilerplate_lines(spark, frame, ""), "")
+    rows = {r.doc_id: r.text for r in kept.collect()}
+    assert sorted(rows) == [0, *range(100, 180)] and rows[0] == copy.removeprefix("menu\n")
+
+
 def test_hosts(spark):
     urls = ["https://user:p@Example.org:80/a?b", "http://x.y", "mailto:a@b", None]
     frame = spark.createDataFrame([(u,) for u in urls], "url string").select(line_dedup.host_of(F.col("url")).alias("h"))
