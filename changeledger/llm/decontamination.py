@@ -27,6 +27,8 @@ from .batches import as_bytes, decoded, grouped, stored, with_row
 #: Items whose index is held by a task at a time; more items are searched in as many passes.
 ITEMS_PER_PASS = 20_000
 SHINGLE_WORDS = 5
+#: With so many runs for each that a changed word destroys, a share of 0.8 bears one changed word.
+RUNS_PER_WORD = 5
 K1, B = 1.2, 0.75
 _BLOCK = 4
 _CELLS = 4 << 20
@@ -62,21 +64,52 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return (question, answer) if question else (answer, [])
 
 
-def shingles(words: list[str]) -> set[tuple[str, ...]]:
-    """Runs of SHINGLE_WORDS words; fewer words are one run."""
+def shingles(words: list[str], size: int = SHINGLE_WORDS) -> set[tuple[str, ...]]:
+    """Runs of `size` words; fewer words are one run."""
     if not words:
         return set()
-    return {tuple(words[i : i + SHINGLE_WORDS]) for i in range(max(1, len(words) - SHINGLE_WORDS + 1))}
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
 def contained(part: list[str], words: list[str]) -> float:
-    """Share of the part's runs that the words hold; 1 for a part without words."""
+    """Share of the part's runs that the words hold; 1 for a part without words.
+
+    One changed word destroys up to SHINGLE_WORDS runs. A part that has fewer than RUNS_PER_WORD
+    times as many is also measured by shorter runs, the longest of which it has enough, or word by
+    word in one stretch of its own length; the larger share counts. A part with fewer than
+    RUNS_PER_WORD words is one run.
+    """
     wanted = shingles(part)
     if not wanted:
         return 1.0
-    size = min(len(part), SHINGLE_WORDS)
-    have = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
-    return len(wanted & have) / len(wanted)
+    share = _share_held(wanted, words)
+    if share == 1.0 or len(part) < RUNS_PER_WORD or len(wanted) >= RUNS_PER_WORD * SHINGLE_WORDS:
+        return share
+    for size in range(SHINGLE_WORDS - 1, 1, -1):
+        shorter = shingles(part, size)
+        if len(shorter) >= RUNS_PER_WORD * size:
+            return max(share, _share_held(shorter, words))
+    return max(share, _in_one_stretch(part, words))
+
+
+def _share_held(runs: set[tuple[str, ...]], words: list[str]) -> float:
+    size = len(next(iter(runs)))
+    return len(runs & {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}) / len(runs)
+
+
+def _in_one_stretch(part: list[str], words: list[str]) -> float:
+    """Most of the part's words, repeats included, in as many neighbouring words, over all of them."""
+    missing = Counter(part)
+    size, held, most = len(part), 0, 0
+    for i, word in enumerate(words):
+        if i >= size and (gone := words[i - size]) in missing:
+            missing[gone] += 1
+            held -= missing[gone] > 0
+        if word in missing:
+            held += missing[word] > 0
+            missing[word] -= 1
+        most = max(most, held)
+    return most / size
 
 
 class ItemIndex:

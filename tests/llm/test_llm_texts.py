@@ -274,3 +274,46 @@ def test_decontamination_equals_the_plain_version(spark):
     assert kept.columns == frame.columns
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in texts} - {d for d, _ in want}
     assert (902, 1) in want and (903, 2) in want
+
+
+def item_index(items):
+    parts = [(i, *decontamination.question_and_answer(text)) for i, text in enumerate(items)]
+    frequency = Counter(w for _, q, a in parts for w in set(q + a))
+    return decontamination.ItemIndex(parts, frequency, len(parts), sum(len(q + a) for _, q, a in parts) / len(parts), decontamination.Thresholds())
+
+
+def test_every_changed_word_of_a_part_of_five_or_more_is_borne():
+    """Brute force: each word of each item replaced, dropped or followed by another, amid other words."""
+    random_ = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    pick = lambda n, m: [" ".join(part) for part in (lambda w: (w[:n], w[n:]))(random_.sample(words, n + m)) if part]
+    sizes = [(n, m) for n in (5, 6, 8, 10, 11, 16, 17, 22, 28, 29, 40) for m in (0, 1, 4, 5, 7, 11, 20)]
+    items = [". ".join(pick(n, m)) + "." for n, m in sizes] + ["the same word and the same word and so on"]
+    index = item_index(items)
+    before, after = "over here now " * 20, " then some more" * 20
+    for i, item in enumerate(items):
+        question, answer = decontamination.question_and_answer(item)
+        own = question + answer
+        edits = {(at, how): own[:at] + new + own[at + 1 :] for at, word in enumerate(own) for how, new in (("replaced", ["zzz"]), ("dropped", []), ("followed", [word, "zzz"]))}
+        edits["none", ""] = own
+        found = index.search([before + " ".join(words) + after for words in edits.values()])
+        for (at, how), hits in zip(edits, found, strict=True):
+            short = at != "none" and len(answer) < 5 and at >= len(question)
+            held = not short or (how == "followed" and at == len(own) - 1)
+            assert (i in hits) == held, (item, at, how)
+
+
+def test_short_parts_elsewhere_are_not_held():
+    question, answer = "which of the two rivers is longer in this land", "the river of the north is the longer"
+    index = item_index([question + ". " + answer + ".", "other words of another item"])
+    scattered = " and then some ".join(answer.split())
+    texts = [question + ". " + answer, question + ". we never knew that at all", question + ". " + scattered, " so ".join(question.split()) + ". " + answer]
+    assert [0 in hits for hits in index.search(texts)] == [True, False, False, False]
+
+
+def test_words_in_one_stretch():
+    random_ = random.Random(9)
+    for _ in range(300):
+        part, words = ([random_.choice("abcde") for _ in range(random_.randrange(least, 14))] for least in (1, 0))
+        want = max((sum((Counter(words[max(0, end - len(part)) : end]) & Counter(part)).values()) for end in range(len(words) + 1)), default=0)
+        assert decontamination._in_one_stretch(part, words) == want / len(part)
