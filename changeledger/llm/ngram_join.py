@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from changeledger.operators.broadcasting import broadcast_if_small
 
-from .batches import grouped, id_and_text, stored, with_row
+from .batches import as_bytes, grouped, id_and_text, stored, with_row
 from .components import components
 from .hashing import mixed
 from .sorted_runs import RUNS, merge_runs, names_bits, repeated_names, rows_of, sorted_runs, texts_of, with_answers, written_chunks
@@ -273,6 +273,15 @@ def similar_components(documents: DataFrame, similarity: Similarity = Similarity
     with each other. A row whose doc_id is null links through rows of an equal set that have one; its
     component_id is then theirs, else null. Different texts under one doc_id are different documents.
     """
+    placed = _placed(documents, similarity)
+    return placed.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _placed(documents: DataFrame, similarity: Similarity) -> DataFrame:
+    """(doc_id, n_shingles, set_key, root, component_id) per row: `root` names the component, whatever its ids.
+
+    Key, root and component are null for a text without words.
+    """
     described = stored(describe(documents, similarity), "ngram-sets")
     sets = described.select("doc_id", "n_shingles", "set_key")
     classes = sets.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
@@ -301,18 +310,40 @@ def similar_components(documents: DataFrame, similarity: Similarity = Similarity
     final = components(first_links.unionByName(second_links)).withColumnRenamed("node", "set_key")
     named = classes.join(final, "set_key", "left").select("set_key", "first_id", F.coalesce("root", "set_key").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = named.join(least, "root").select("set_key", "component_id")
-    return sets.join(ids, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    ids = named.join(least, "root").select("set_key", "root", "component_id")
+    return sets.join(ids, "set_key", "left").select("doc_id", "n_shingles", "set_key", "root", "component_id")
 
 
 def keep_first(documents: DataFrame, similarity: Similarity = Similarity()) -> DataFrame:
     """One row of each component: that of the least doc_id, with all its columns.
 
     Rows without words link with nothing and stay; so do rows whose doc_id is null. Repeated rows
-    are copies, of which one stays.
+    are copies, of which one stays. Different texts under one doc_id are different documents.
     """
-    found = stored(similar_components(id_and_text(documents), similarity), "ngram-components")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = with_row(documents, doc_id=F.col("doc_id"), text=F.col("text")).join(broadcast_if_small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    found = stored(_placed(id_and_text(documents), similarity), "ngram-components")
     repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    return (kept.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).collect() else kept).select("row.*")
+    if repeated.limit(1).collect():
+        return _first_by_set(documents, found, similarity)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = with_row(documents, doc_id=F.col("doc_id")).join(broadcast_if_small(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+    return kept.select("row.*")
+
+
+def _first_by_set(documents: DataFrame, found: DataFrame, similarity: Similarity) -> DataFrame:
+    """As keep_first, where an id may stand for several texts: rows are told apart by id and set."""
+    rows = with_row(documents, doc_id=F.col("doc_id").cast("bigint"), text=as_bytes("text"))
+    schema = StructType([*rows.schema.fields, StructField("set_key", LongType())])
+
+    def with_key(batches: Iterable[pa.RecordBatch]):
+        shingler = Shingler(similarity.words)
+        for batch in grouped(batches):
+            keys = pa.array([_set_key(shingler.grams(text)) for text in batch.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=schema.names)
+
+    named = found.filter("doc_id IS NOT NULL AND root IS NOT NULL").select("root", F.struct("doc_id", "set_key").alias("one"))
+    first = named.groupBy("root").agg(F.min("one").alias("first"))
+    gone = named.join(first, "root").filter("one <> first").select(F.col("one.doc_id").alias("gone"), F.col("one.set_key").alias("gone_key")).distinct()
+    keyed = rows.mapInArrow(with_key, schema)
+    kept = keyed.filter("doc_id IS NOT NULL").join(broadcast_if_small(gone), (F.col("doc_id") == F.col("gone")) & (F.col("set_key") == F.col("gone_key")), "left_anti")
+    one_each = kept.withColumn("wordless", F.when(F.col("set_key").isNull(), F.col("text"))).dropDuplicates(["doc_id", "set_key", "wordless"])
+    return one_each.select("row").unionByName(keyed.filter("doc_id IS NULL").select("row")).select("row.*")

@@ -171,6 +171,17 @@ def test_first_of_similar_stays(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [3, 7, 8, 9]
 
 
+def test_first_of_similar_where_ids_repeat(spark):
+    """One row of each component stays, whichever ids its texts and others have."""
+    words = lambda letter: " ".join(f"{letter}{i}" for i in range(60))
+    rows = [(1, words("a")), (2, words("a") + " more"), (2, words("b")), (3, words("c")), (3, words("c") + " more"), (4, words("d")), (4, words("d").upper()), (4, words("e"))]
+    rows += [(5, words("b") + " more"), (6, ""), (6, ""), (6, None), (None, words("f")), (None, words("f"))]
+    kept = ngram_join.keep_first(documents(spark, rows))
+    assert kept.columns == ["doc_id", "text", "chunk", "set_key"]
+    got = sorted(((r.doc_id or 0), (r.text or "")[:1].lower()) for r in kept.collect())
+    assert got == [(0, "f"), (0, "f"), (1, "a"), (2, "b"), (3, "c"), (4, "d"), (4, "e"), (6, ""), (6, "")]
+
+
 @pytest.mark.parametrize("similarity", [ngram_join.Similarity(3, 90), ngram_join.Similarity(5, 80), ngram_join.Similarity(1, 50)])
 def test_linked_sets_share_a_mark(similarity):
     """Without loss at the threshold, whatever is common and whatever else repeats an n-gram."""
