@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeledger.session import configure
 
-from . import bpe, decontamination, language_id, line_dedup, neighbours, ngram_join, quality, suffix_dedup, toxicity
+from . import bpe, decontamination, digests, language_id, line_dedup, merkle, neighbours, ngram_join, quality, suffix_dedup, toxicity
 from .batches import fold_is, id_and_text, small_batches, stored
 from .token_counts import token_counts
 
@@ -121,6 +121,18 @@ def op10_approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> Dat
     return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = digests.edited_likeness(_documents(spark, sf_dir))
+    in_hex = {name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(in_hex)
+
+
 ORACLE_SQL["op4_line_dedup"] = f"""
 WITH lines AS (
     SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line
@@ -175,3 +187,53 @@ WITH RECURSIVE words AS (
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.start = d.doc_id
 """
+
+ORACLE_SQL["op11_merkle_manifest"] = r"""
+WITH RECURSIVE fields AS (
+    SELECT doc_id, lang, n_chars,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS before,
+        coalesce(strlen(text) || ':' || text, '-') AS after,
+        xor(list_reduce(
+            flatten([[ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')]),
+            lambda c, x : CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END,
+            4294967295::BIGINT), 4294967295::BIGINT) % 7 = 0 AS is_tampered
+    FROM documents
+), leaves AS (
+    SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf, tampered
+    FROM (SELECT doc_id, lang,
+        sha256(before || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') || after) AS leaf,
+        sha256(before || coalesce(strlen((n_chars + is_tampered::INT)::VARCHAR) || ':' || (n_chars + is_tampered::INT)::VARCHAR, '-') || after) AS tampered
+        FROM fields)
+), langs AS (
+    SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM leaves GROUP BY lang
+), built(tree, level, i, hash) AS (
+    SELECT tree, 0, i, leaf FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang
+    UNION ALL
+    SELECT tree, level + 1, i // 2, sha256(string_agg(hash, '' ORDER BY i))
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS nodes FROM built) AS below
+    WHERE nodes > 1 GROUP BY tree, level, i // 2
+), subroots AS (
+    SELECT tree, level, hash FROM (SELECT *, max(level) OVER (PARTITION BY tree) AS top FROM built) AS b WHERE level = top
+), over(level, i, hash) AS (
+    SELECT 0, tree, hash FROM subroots
+    UNION ALL
+    SELECT level + 1, i // 2, sha256(string_agg(hash, '' ORDER BY i))
+    FROM (SELECT *, count(*) OVER () AS nodes FROM over) AS below WHERE nodes > 1 GROUP BY level, i // 2
+), nodes AS (
+    SELECT tree, level, i, hash FROM built UNION ALL SELECT -1, level, i, hash FROM over
+), climb(doc_id, leaf, tree, level, i, top, lang_tree, folded, proof) AS (
+    SELECT doc_id, leaf, g.tree, 0, i, s.level, g.tree, tampered, ''
+    FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang JOIN subroots s ON s.tree = g.tree
+    UNION ALL
+    SELECT c.doc_id, c.leaf, CASE WHEN c.level = c.top THEN -1 ELSE c.tree END, CASE WHEN c.level = c.top THEN 0 ELSE c.level + 1 END,
+        CASE WHEN c.level = c.top THEN c.lang_tree ELSE c.i // 2 END,
+        CASE WHEN c.level = c.top THEN (SELECT max(level) FROM over) ELSE c.top END, c.lang_tree,
+        CASE WHEN c.level = c.top THEN c.folded WHEN c.i % 2 = 1 THEN sha256(n.hash || c.folded) ELSE sha256(c.folded || coalesce(n.hash, '')) END,
+        CASE WHEN c.level = c.top THEN c.proof ELSE c.proof || coalesce(n.hash, '') END
+    FROM climb c LEFT JOIN nodes n ON n.tree = c.tree AND n.level = c.level AND n.i = xor(c.i, 1)
+    WHERE NOT (c.tree = -1 AND c.level = c.top)
+)
+SELECT doc_id, leaf, s.hash AS subroot, r.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.hash AS verified
+FROM climb c JOIN subroots s ON s.tree = c.lang_tree JOIN (SELECT hash FROM over WHERE level = (SELECT max(level) FROM over)) r ON true
+WHERE c.tree = -1 AND c.level = c.top
+"""
