@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from changeledger.session import configure
 
-from . import bpe, decontamination, digests, language_id, line_dedup, merkle, neighbours, ngram_join, quality, suffix_dedup, toxicity
+from . import bpe, decontamination, digests, language_id, line_dedup, merkle, neighbours, ngram_join, quality, ranked_search, suffix_dedup, toxicity
 from .batches import fold_is, id_and_text, small_batches, stored
 from .token_counts import token_counts
 
@@ -133,6 +133,12 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(in_hex)
 
 
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = id_and_text(_table(spark, sf_dir, "benchmark"), "item_id").withColumnRenamed("doc_id", "item_id")
+    return ranked_search.ranked(_documents(spark, sf_dir), items)
+
+
 ORACLE_SQL["op4_line_dedup"] = f"""
 WITH lines AS (
     SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line
@@ -237,3 +243,32 @@ SELECT doc_id, leaf, s.hash AS subroot, r.hash AS root, sha256(proof) AS proof_s
 FROM climb c JOIN subroots s ON s.tree = c.lang_tree JOIN (SELECT hash FROM over WHERE level = (SELECT max(level) FROM over)) r ON true
 WHERE c.tree = -1 AND c.level = c.top
 """
+
+ORACLE_SQL["op13_ranked_search"] = r"""
+WITH words AS (
+    SELECT doc_id, row_number() OVER () AS d,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), sizes AS (
+    SELECT d, doc_id, len(w) AS n FROM words WHERE len(w) > 0
+), corpus AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes
+), tfs AS (
+    SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM words) GROUP BY d, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tfs, corpus GROUP BY term, n_docs
+), asked AS (
+    SELECT i, item_id, term, count(*) AS repeats
+    FROM (SELECT row_number() OVER () AS i, item_id,
+        unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark)
+    GROUP BY i, item_id, term
+), scores AS (
+    SELECT i, item_id, s.d, doc_id, CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM asked a JOIN weights g ON a.term = g.term JOIN tfs t ON t.term = a.term JOIN sizes s ON s.d = t.d, corpus
+    GROUP BY i, item_id, s.d, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 20
+"""
