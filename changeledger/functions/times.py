@@ -16,9 +16,15 @@ BUCKET_UNITS = ["second", "minute", "hour", "day", "week", "month", "quarter", "
 BUCKET_UNIT_SYNONYMS = ["dd", "mon", "mm", "yy", "yyyy"]
 
 
-def _micros(units: Column, micros_each: int) -> Column:
-    """A timestamp, or null where a time is too large for one: an odd value must not end a job."""
-    return F.timestamp_micros(F.try_multiply(units.cast("bigint"), F.lit(micros_each).cast("bigint")))
+# The seconds of 0001-01-01T00:00:00Z and 9999-12-31T23:59:59Z, the years that dates are written in.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def _micros(units: Column, each_second: int) -> Column:
+    """A timestamp, or null outside the years 1 to 9999: an odd value must not end a job or read as a date."""
+    whole = units.cast("bigint")
+    in_years = whole.between(F.lit(FIRST_SECOND * each_second), F.lit(LAST_SECOND * each_second + each_second - 1))
+    return F.timestamp_micros(F.when(in_years, whole * F.lit(1_000_000 // each_second).cast("bigint")))
 
 
 def epoch_ms_to_timestamp(ms: Column) -> Column:
@@ -26,7 +32,7 @@ def epoch_ms_to_timestamp(ms: Column) -> Column:
 
 
 def epoch_seconds_to_timestamp(seconds: Column) -> Column:
-    return _micros(seconds, 1_000_000)
+    return _micros(seconds, 1)
 
 
 def epoch_ms_to_second(ms: Column) -> Column:

@@ -31,6 +31,22 @@ def filter_commit_dates(
     return changes.where(times.within_range(F.col("date"), since, until))
 
 
+def _with_branches(rolled: DataFrame, keyed: DataFrame, grain: list[str]) -> DataFrame:
+    """Add the sorted branch names of each group.
+
+    Sets of branches are made distinct before their names are gathered, so what is gathered grows with
+    a project's branches and not with its commits. Gathering beside the counters would turn their hash
+    aggregation into a sorting one. Both sides end up grouped by the grain and are small by then.
+    """
+    named = keyed.select(*grain, F.array_sort(F.array_compact("branches")).alias("_set")).distinct()
+    each = named.select(*[F.col(name).alias(f"_{name}") for name in grain], F.explode("_set").alias("_branch")).distinct()
+    branches = each.groupBy(*[f"_{name}" for name in grain]).agg(F.sort_array(F.collect_list("_branch")).alias("branches"))
+    same = F.lit(True)
+    for name in grain:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return rolled.join(branches, same, "left").drop(*[f"_{name}" for name in grain])
+
+
 def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_branches: bool = False) -> DataFrame:
     """Activity per project, author, email and time grain, in the flattened contributor layout.
 
@@ -57,11 +73,10 @@ def roll_up_contributors(changes: DataFrame, aggregate: str = "email", extract_b
         F.max("date").alias("last_commit_date"),
         F.bool_or("merge").alias("is_merge"),
     ]
+    grain = ["project", "author", "email", *parts]
+    rolled = keyed.groupBy(*grain).agg(*measures)
     if extract_branches:
-        # Sets of sets: what is gathered grows with a project's branches, not with its commits.
-        named = F.array_distinct(F.flatten(F.collect_set(F.array_sort(F.array_compact("branches")))))
-        measures.append(F.sort_array(F.nullif(named, F.array().cast("array<string>"))).alias("branches"))
-    rolled = keyed.groupBy("project", "author", "email", *parts).agg(*measures)
+        rolled = _with_branches(rolled, keyed, grain)
     present = set(rolled.columns)
     layout = {("author" if name == "name" else name): t for name, t in CONTRIBUTOR_FIELDS.items()}
     return rolled.select(
