@@ -30,8 +30,8 @@ def parse_audit_lines(lines: DataFrame) -> DataFrame:
     """
     # Read as the elements of an array, a line that holds more than one document, or anything after
     # its document, does not count as an event; the last character tells a bracket that would close
-    # the array early. The generator keeps the parse from being repeated.
-    whole = lines.where(F.rtrim(F.col("value"), F.lit(" \t\r")).endswith("}"))
+    # the array early. A generator keeps a computed line, and another one the parse, from being repeated.
+    whole = lines.select(F.explode(F.array("value")).alias("value")).where(F.rtrim(F.col("value"), F.lit(" \t\r")).endswith("}"))
     documents = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<struct<{AUDIT_LINE}>>", {"allowSingleQuotes": "false"})
     listed = whole.select(F.inline(F.array(F.struct(documents.alias("documents")))))
     parsed = listed.where(F.size("documents") == 1).select(F.col("documents")[0].alias("line")).select("line.*")
