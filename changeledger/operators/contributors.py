@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.organization import organization_of
@@ -32,6 +32,17 @@ def with_organization(df: DataFrame) -> DataFrame:
     return df.withColumn("organization", organization_of(F.col("email")))
 
 
+def alias_overrides() -> dict[str, Column]:
+    """Author and organisation where `_alias_author`, `_alias_organization` override them."""
+    organization = F.when(
+        F.col("_alias_organization") != "", F.lower(F.col("_alias_organization"))
+    ).otherwise(F.col("organization"))
+    return {
+        "author": F.coalesce(F.col("_alias_author"), F.col("author")).alias("author"),
+        "organization": organization.alias("organization"),
+    }
+
+
 def apply_aliases(df: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
     """Override author and organisation of the emails that have an alias.
 
@@ -46,13 +57,7 @@ def apply_aliases(df: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
         F.col("author").alias("_alias_author"),
         F.col("organization").alias("_alias_organization"),
     )
-    organization = F.when(
-        F.col("_alias_organization") != "", F.lower(F.col("_alias_organization"))
-    ).otherwise(F.col("organization"))
-    overridden = {
-        "author": F.coalesce(F.col("_alias_author"), F.col("author")).alias("author"),
-        "organization": organization.alias("organization"),
-    }
+    overridden = alias_overrides()
     return df.join(renamed, F.col("email") == F.col("_alias_email"), "left").select(
         *[overridden.get(c, F.col(c)) for c in df.columns]
     )

@@ -23,6 +23,30 @@ from ..sources.server_pages import read_accounts, read_known_projects
 COUNTED = ["events_time_bucket", "audit_type", "who", "access_path", "what", "http_method", "result"]
 
 
+def count_identical(
+    events: DataFrame, unit: str = "hour", since: str | dt.date | None = None, until: str | dt.date | None = None
+) -> DataFrame:
+    """Events within the bounds, counted per bucket and columns that decide a facet."""
+    bucketed = filter_time_range(with_event_columns(events), since, until).transform(with_time_bucket, unit)
+    return bucketed.groupBy(*COUNTED).agg(F.count(F.lit(1)).alias("num_events"))
+
+
+def facets_of_counted(
+    counted: DataFrame,
+    accounts: DataFrame | None = None,
+    user_types: DataFrame | None = None,
+    known_projects: DataFrame | None = None,
+) -> DataFrame:
+    """Facet counts of identical events counted before."""
+    enriched = (
+        counted.transform(with_project_of_distinct, known_projects)
+        .transform(with_user_columns, accounts, user_types)
+        .transform(with_command_columns)
+        .transform(with_sub_command)
+    )
+    return count_facets(enriched, weight=F.col("num_events"))
+
+
 def aggregate_events(
     events: DataFrame,
     accounts: DataFrame | None = None,
@@ -39,19 +63,8 @@ def aggregate_events(
     bucket, and leaves the counts partitioned by their own columns, which the project lookup
     reuses. A text or user holding a third of the events is folded before the first shuffle.
     """
-    counted = (
-        filter_time_range(with_event_columns(events), since, until)
-        .transform(with_time_bucket, unit)
-        .groupBy(*COUNTED)
-        .agg(F.count(F.lit(1)).alias("num_events"))
-    )
-    enriched = (
-        counted.transform(with_project_of_distinct, known_projects)
-        .transform(with_user_columns, accounts, user_types)
-        .transform(with_command_columns)
-        .transform(with_sub_command)
-    )
-    return count_facets(enriched, weight=F.col("num_events"))
+    counted = count_identical(events, unit, since, until)
+    return facets_of_counted(counted, accounts, user_types, known_projects)
 
 
 @dataclass(frozen=True)

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from changeledger.functions import audit_fields, project_fields, text, times
 from changeledger.functions.organization import organization_of
-from changeledger.operators import audit_columns, audit_events, contributors, known_projects, rollup, users
-from changeledger.plans import audit, commits, reports
+from changeledger.operators import as_of, audit_columns, audit_events, contributors, facet_cube, known_projects, rollup, sessions, sketches, users
+from changeledger.plans import audit, commits, incremental, reports
 from changeledger.session import configure, scratch_dir
 from changeledger.sinks.documents import Target, write_all, write_documents, write_json
 from changeledger.sources import audit_logs, csv_lists, manifest, server_pages
 from changeledger.sources import contributors as landed
+from changeledger.streaming import audit as live
 
 from . import views
 
@@ -354,6 +355,19 @@ def j6_project_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.groupBy("project").agg(F.count(F.lit(1)).alias("rows"), F.sum("added_lines").alias("added_lines"))
 
 
+@query
+def j7_user_type_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _events(spark, sf_dir).select("uuid", "who", "time_at_start")
+    return as_of.with_user_type_as_of(rows, views.user_type_history(spark, sf_dir))
+
+
+@query
+def j8_aliases_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = contributors.flatten_contributors(views.contributor_lines(spark, sf_dir), with_commits=False)
+    rows = contributors.with_organization(stats.select("project", "author", "email", "last_commit_date", "added_lines"))
+    return as_of.apply_aliases_as_of(rows, views.alias_history(spark, sf_dir))
+
+
 # --- extraction ------------------------------------------------------------------------------
 
 
@@ -552,6 +566,34 @@ def g4_top_receive_pack_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_receive_pack_users(_counts(spark, sf_dir))
 
 
+@query
+def g5_facet_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _untyped(facet_cube.facet_cube(_counts(spark, sf_dir, "day")), "events_time_bucket")
+
+
+@query
+def g6_sketched_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly figures merged from hourly states, beside exact counts: the estimates must be within 2 %."""
+    changes = views.commit_changes(spark, sf_dir)
+    merged = sketches.estimates(sketches.merged_sketches(sketches.hourly_sketches(changes), "year"))
+    since = F.date_trunc("year", times.epoch_ms_to_timestamp(F.col("date")))
+    distinct = {"commits": "sha1", "files": "file", "emails": "email"}
+    exact_name = {"commits": "num_commits", "files": "num_files_distinct", "emails": "num_emails"}
+    exact = changes.groupBy("project", since.alias("since")).agg(*[F.count_distinct(column).alias(exact_name[name]) for name, column in distinct.items()])
+    close = [(F.abs(F.col(f"num_{name}_about") - F.col(exact_name[name])) <= 0.02 * F.col(exact_name[name])).alias(f"{name}_close") for name in distinct]
+    rows = merged.join(exact, ["project", "since"])
+    return _untyped(rows.select("project", "since", *sketches.COUNTERS, *exact_name.values(), *close), "since")
+
+
+#: A user's pause that ends a session.
+SESSION_GAP_MS = 36 * 3_600_000
+
+
+@query
+def g7_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.user_sessions(_events(spark, sf_dir), SESSION_GAP_MS)
+
+
 # --- plans -----------------------------------------------------------------------------------
 
 
@@ -629,17 +671,48 @@ def m4_audit_counts_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _untyped(_counts(spark, sf_dir, "hour", since=SINCE, until=UNTIL), "events_time_bucket")
 
 
-@query
-def m4_audit_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole audit job up to its sink: gzip log, server pages and user list are staged and read."""
-    log, projects, accounts, types = (scratch_dir(spark, label) for label in ("audit-log", "known-projects", "accounts", "user-types"))
-    views.audit_lines(spark, sf_dir).write.option("compression", "gzip").text(log)
+def _staged_audit_job(spark: SparkSession, sf_dir: str, log: str, index: Target) -> audit.AuditJob:
+    """The audit job over a log, with server pages and the user list staged."""
+    projects, accounts, types = (scratch_dir(spark, label) for label in ("known-projects", "accounts", "user-types"))
     known = views.known_project_entries(spark, sf_dir).select(F.to_json(F.struct("name", "state")).alias("entry"), "s_suppkey")
     _write_pages(views.as_pages(known, F.col("s_suppkey")), projects)
     listed = views.account_entries(spark, sf_dir).select(F.to_json(F.struct("*")).alias("entry"), "_account_id")
     _write_pages(views.as_pages(listed, F.col("_account_id")), accounts)
     _user_types(spark, sf_dir).write.csv(types, header=True)
-    job = audit.AuditJob(
-        events_path=log, index=Target("unused"), known_projects_path=projects, accounts_path=accounts, additional_user_info_path=types
+    return audit.AuditJob(
+        events_path=log, index=index, known_projects_path=projects, accounts_path=accounts, additional_user_info_path=types
     )
+
+
+@query
+def m4_audit_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole audit job up to its sink: gzip log, server pages and user list are staged and read."""
+    log = scratch_dir(spark, "audit-log")
+    views.audit_lines(spark, sf_dir).write.option("compression", "gzip").text(log)
+    job = _staged_audit_job(spark, sf_dir, log, Target("unused"))
     return _untyped(audit.build_audit_counts(spark, job), "events_time_bucket")
+
+
+@query
+def m4_audit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job on the log as a stream of files; a last line closes the buckets that are open."""
+    log, index, checkpoint = (scratch_dir(spark, label) for label in ("live-log", "live-counts", "live-checkpoint"))
+    views.audit_lines(spark, sf_dir).repartition(4).write.text(log)
+    views.closing_audit_line(spark).write.mode("append").text(log)
+    job = _staged_audit_job(spark, sf_dir, log, Target(index, "parquet"))
+    # The files are cut at random, so a bucket stays open for as long as all of them span.
+    stream = live.AuditStream(job, checkpoint, delay="400 days", max_files=2)
+    live.start_audit_stream(spark, stream, available_now=True).awaitTermination()
+    return _untyped(live.read_closed_counts(spark, stream), "events_time_bucket")
+
+
+@query
+def m4_audit_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of log that share days, and one of them run again."""
+    table = scratch_dir(spark, "audit-table")
+    lists = views.accounts(spark, sf_dir), _user_types(spark, sf_dir), views.known_projects(spark, sf_dir)
+    of_users = {"even": F.coalesce(F.col("who") % 2 == 0, F.lit(True)), "odd": F.col("who") % 2 == 1}
+    for batch in ("even", "odd", "even"):
+        counts = audit.aggregate_events(_events(spark, sf_dir).where(of_users[batch]), *lists)
+        incremental.merge_counts(counts, table, batch)
+    return _untyped(incremental.read_counts(spark, table).drop("day"), "events_time_bucket")

@@ -103,6 +103,13 @@ def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_records(spark, sf_dir).selectExpr(f"concat(if(kind = 18, '#', ''), {line}) AS value")
 
 
+def closing_audit_line(spark: SparkSession) -> DataFrame:
+    """A line of the year 2100, later than any event by more than a stream waits."""
+    event = '''{"type":"SshAuditEvent","event":{"session_id":"end","time_at_start":4102444800000,"what":"LOGOUT",'''
+    rest = '''"elapsed":0,"uuid":{"uuid":"end"},"result":"0"}}'''
+    return spark.range(1).select(F.lit(event + rest).alias("value"))
+
+
 def known_project_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(`name`, `state`) per supplier: the project itself, and a plugins project where in credit."""
     base = _text("nation", F.col("s_suppkey") % 25, "/supplier-", F.col("s_suppkey"))
@@ -146,6 +153,28 @@ def user_type_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_type_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(`id`, `valid_from`, `type`): listed users are bots or unstated from a day of January, machinery ones human a week later."""
+    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    start = F.lit(1_704_067_200_000) + (key % 20) * 86_400_000
+    first = F.struct(start.alias("valid_from"), F.when(segment != "BUILDING", "bot").alias("type"))
+    second = F.struct((start + 7 * 86_400_000).alias("valid_from"), F.lit("human").alias("type"))
+    listed = table(spark, sf_dir, "customer").where(segment.isin("MACHINERY", "FURNITURE", "BUILDING"))
+    entries = F.explode(F.when(segment == "MACHINERY", F.array(first, second)).otherwise(F.array(first)))
+    return listed.select(key.cast("int").alias("id"), entries.alias("entry")).select("id", "entry.*")
+
+
+def alias_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aliases that hold from a day between 1992 and 1997 on; those of machinery are withdrawn 500 days later."""
+    start = F.lit(694_224_000_000) + (F.col("c_custkey") % 2000) * 86_400_000
+    listed = committers(spark, sf_dir).where(F.col("c_mktsegment").isin("MACHINERY", "FURNITURE"))
+    first = F.struct(start.alias("valid_from"), _text("Alias ", F.col("author")).alias("author"), _text("AcMe-", F.col("project")).alias("organization"))
+    none = F.lit(None).cast("string")
+    second = F.struct((start + 500 * 86_400_000).alias("valid_from"), none.alias("author"), none.alias("organization"))
+    entries = F.when(F.col("c_mktsegment") == "MACHINERY", F.array(first, second)).otherwise(F.array(first))
+    return listed.select("email", F.explode(entries).alias("entry")).select("email", "entry.*")
+
+
 def committers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(`c_custkey`, `project`, `author`, `email`) per customer, over many shapes of domain."""
     key = F.col("c_custkey")
