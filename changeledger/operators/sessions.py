@@ -22,6 +22,8 @@ def user_sessions(events: DataFrame, gap_ms: int, slice_ms: int = DAY_MS) -> Dat
     is spread over tasks. What crosses a border between slices is then joined from one row per partial
     session, of which a user has at most one for each gap.
     """
+    if gap_ms <= 0:
+        raise ValueError(f"a gap must be longer than nothing, not {gap_ms} ms")
     started = epoch_ms_to_timestamp(F.col("time_at_start"))
     timed = require_utc(events).where(F.col("who").isNotNull()).withColumn("_started", started).where(F.col("_started").isNotNull())
     status = F.col("result").try_cast("int")

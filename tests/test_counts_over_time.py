@@ -1,0 +1,157 @@
+"""Sessions, cubes, sketches and counts kept from run to run."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from changeledger.operators.facet_cube import all_sets, facet_cube
+from changeledger.operators.sessions import user_sessions
+from changeledger.operators.sketches import estimates, hourly_sketches, merged_sketches
+from changeledger.plans import incremental
+from changeledger.schemas import FACETS
+
+DAY = 86_400_000
+
+
+def sessions_of(events, gap):
+    """(who, start, end, number) by a plain loop."""
+    found = []
+    for who in {w for w, _ in events if w is not None}:
+        times = sorted(t for w, t in events if w == who)
+        start = before = times[0]
+        number = 0
+        for t in times:
+            if t - before > gap:
+                found.append((who, start, before, number))
+                start, number = t, 0
+            before, number = t, number + 1
+        found.append((who, start, before, number))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("gap, slice_ms", [(7, 10), (40, 25), (500, 100)])
+def test_sessions_cross_slices(spark, rows, gap, slice_ms):
+    rng = random.Random(gap)
+    events = [(rng.choice([1, 2, None]), rng.randrange(-300, 900)) for _ in range(150)] + [(3, 0), (3, gap), (3, 2 * gap + 1)]
+    frame = spark.createDataFrame([(who, at, 2, "0") for who, at in events], "who int, time_at_start bigint, elapsed int, result string")
+    got = user_sessions(frame, gap, slice_ms)
+    assert rows(got.select("who", "session_start", "session_end", "num_events")) == sorted(sessions_of(events, gap), key=repr)
+    assert got.agg(F.sum("total_elapsed")).first()[0] == 2 * sum(1 for who, _ in events if who is not None)
+
+
+def test_a_session_needs_a_gap(spark):
+    with pytest.raises(ValueError, match="longer than nothing"):
+        user_sessions(spark.createDataFrame([], "who int, time_at_start bigint, elapsed int, result string"), 0)
+
+
+def test_a_dominant_user_is_spread_over_slices(spark):
+    """A user with a third of all events is merged in as many groups as there are days; the rest is one row each."""
+    who = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("int")
+    events = spark.range(60_000).select(who.alias("who"), (F.col("id") * 60_000).alias("time_at_start"), F.lit(1).alias("elapsed"), F.lit("0").alias("result"))
+    found = user_sessions(events, 600_000)
+    assert [(r.num_events, r.session_start) for r in found.where("who = 7 AND num_events > 1000").collect()] == [(events.where("who = 7").count(), 0)]
+    assert "hashpartitioning(who" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_failed_events_of_a_session(spark):
+    results = ["0", "200", "302", "404", "500", "FAIL", None]
+    frame = spark.createDataFrame([(1, n, 1, result) for n, result in enumerate(results)], "who int, time_at_start bigint, elapsed int, result string")
+    assert user_sessions(frame, 10).first().num_failed == 4
+
+
+@pytest.fixture
+def counts(spark):
+    def row(day, user, command, number, kind="SSH"):
+        at = None if day is None else dt.datetime(2024, 1, day)
+        return (at, kind, user, "human" if user else None, "p", command, None, None, None, "0", number)
+
+    rows = [row(1, "a", "ls", 3), row(1, None, "ls", 4), row(2, "a", "rm", 5), row(2, "b", "rm", 6, "HTTP"), row(None, "b", "ls", 7)]
+    return spark.createDataFrame(rows, "events_time_bucket timestamp, " + ", ".join(f"{name} string" for name in FACETS[1:]) + ", num_events bigint")
+
+
+def test_every_set_of_a_cube_has_the_total(counts):
+    cube = facet_cube(counts)
+    totals = {r.grouping_id: r.total for r in cube.groupBy("grouping_id").agg(F.sum("num_events").alias("total")).collect()}
+    assert totals == dict.fromkeys(range(16), 25)
+
+
+def test_a_left_out_facet_differs_from_a_missing_one(counts, rows):
+    cube = facet_cube(counts, ["user_type", "command"])
+    assert rows(cube.where("command = 'ls' AND user_type IS NULL")) == [(None, "ls", 0, 4), (None, "ls", 2, 14)]
+    assert rows(facet_cube(counts, ["user_type"], [["user_type"], []])) == [("human", 0, 21), (None, 0, 4), (None, 1, 25)]
+    assert all_sets(["a", "b"]) == [["a", "b"], ["a"], ["b"], []]
+    with pytest.raises(ValueError, match="unknown facets"):
+        facet_cube(counts, ["colour"])
+
+
+def test_a_cube_folds_before_it_multiplies(counts):
+    plan = facet_cube(counts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Expand") < plan.rindex("HashAggregate") and plan.count("Expand") == 1
+
+
+def test_sketches_merged_over_grains(spark):
+    number = F.col("id")
+    changes = spark.range(60_000).select(
+        F.lit("p").alias("project"), F.concat(F.lit("u"), number % 700, F.lit("@x")).alias("email"), (number % 20_000).cast("string").alias("sha1"),
+        (F.lit(1_704_067_200_000) + number * 45_000).alias("date"), (number % 30_011).cast("string").alias("file"),
+        (number % 1000).alias("added_lines"), F.lit(1).cast("bigint").alias("deleted_lines"),
+    )
+    hours = hourly_sketches(changes)
+    by_day = merged_sketches(hours, "day")
+    direct, by_steps = (estimates(frame).first() for frame in (merged_sketches(hours, None), merged_sketches(merged_sketches(by_day, "month"), None)))
+    for found in (direct, by_steps):
+        assert (found.num_files, found.added_lines, found.deleted_lines) == (60_000, 60 * 499_500, 60_000)
+        for about, exact in ((found.num_commits_about, 20_000), (found.num_files_about, 30_011), (found.num_emails_about, 700)):
+            assert abs(about - exact) <= 0.02 * exact
+        assert abs(found.median_added_about - 500) <= 15 and abs(found.most_added_about - 900) <= 15
+    assert abs(direct.num_commits_about - by_steps.num_commits_about) <= 200
+
+
+def kept(spark, table):
+    return sorted((r.day, r.command, r.user_identifier or "", r.num_events) for r in incremental.read_counts(spark, table).collect())
+
+
+def test_a_batch_counts_once_however_often_it_runs(spark, counts, tmp_path):
+    table = str(tmp_path)
+    assert incremental.merge_counts(counts, table, "monday") == ["20240101", "20240102", "none"]
+    once = kept(spark, table)
+    assert len(once) == 5 and sum(r[-1] for r in once) == 25
+    incremental.merge_counts(counts, table, "monday")
+    assert kept(spark, table) == once
+
+
+def test_batches_of_one_day_add_up(spark, counts, tmp_path):
+    table = str(tmp_path)
+    incremental.merge_counts(counts, table, "a")
+    assert incremental.merge_counts(counts.where("events_time_bucket < '2024-01-02'"), table, "b") == ["20240101"]
+    assert sum(r[-1] for r in kept(spark, table)) == 32
+    assert incremental.merge_counts(counts.where("command = 'rm'"), table, "b") == ["20240101", "20240102"]
+    assert sum(r[-1] for r in kept(spark, table)) == 36
+    assert incremental.merge_counts(counts.where("false"), table, "a") == ["20240101", "20240102", "none"]
+    assert kept(spark, table) == [("20240102", "rm", "a", 5), ("20240102", "rm", "b", 6)]
+    with pytest.raises(ValueError, match="named by"):
+        incremental.merge_counts(counts, table, "../a")
+
+
+def test_a_run_that_failed_half_way_is_completed(spark, counts, tmp_path, monkeypatch):
+    table = str(tmp_path)
+    incremental.merge_counts(counts, table, "a")
+    corrected = counts.where("command = 'rm'")
+    real, reads = incremental._days, []
+
+    def failing(frame):
+        reads.append(frame)
+        if len(reads) == 4:  # the own batch is replaced, the vanished days are not
+            raise RuntimeError("lost")
+        return real(frame)
+
+    monkeypatch.setattr(incremental, "_days", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        incremental.merge_counts(corrected, table, "a")
+    monkeypatch.setattr(incremental, "_days", real)
+    assert incremental.merge_counts(corrected, table, "a") == ["20240101", "20240102", "none"]
+    assert kept(spark, table) == [("20240102", "rm", "a", 5), ("20240102", "rm", "b", 6)]
