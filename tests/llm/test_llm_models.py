@@ -124,7 +124,7 @@ def test_quality_of_texts_that_were_not_learned(spark):
 
 def test_every_operator_has_its_query():
     names = list(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert {*names, "pipeline"} <= set(__spark_entry__.queries()) and set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "byte-level BPE"]
 
