@@ -100,16 +100,18 @@ def start_of_day_ms(day: dt.date) -> int:
 
 
 def within_range(
-    ms: Column, since: str | dt.date | None = None, until: str | dt.date | None = None
+    ms: Column, since: str | dt.date | None = None, until: str | dt.date | None = None, whole_last_day: bool = False
 ) -> Column:
     """start of `since` <= ms <= start of `until`, each bound optional.
 
-    The upper bound is the first instant of the `until` day, so later events of that day are out.
+    The upper bound is the first instant of the `until` day, so later events of that day are out,
+    unless the `whole_last_day` is asked for.
     """
     condition = F.lit(True)
     lower, upper = parse_bound(since), parse_bound(until)
     if lower is not None:
         condition = condition & (ms >= F.lit(start_of_day_ms(lower)))
     if upper is not None:
-        condition = condition & (ms <= F.lit(start_of_day_ms(upper)))
+        last = start_of_day_ms(upper + dt.timedelta(days=1)) - 1 if whole_last_day else start_of_day_ms(upper)
+        condition = condition & (ms <= F.lit(last))
     return condition

@@ -28,18 +28,34 @@ def parse_audit_lines(lines: DataFrame) -> DataFrame:
     `who`, `access_path` are optional; HTTP events also need a method and carry the HTTP status
     as their result. SSH events have a null `http_method`.
     """
-    # Read as the elements of an array, a line that holds more than one document, or anything after
-    # its document, does not count as an event; the last character tells a bracket that would close
-    # the array early. A generator keeps a computed line, and another one the parse, from being repeated.
-    whole = lines.select(F.explode(F.array("value")).alias("value")).where(F.rtrim(F.col("value"), F.lit(" \t\r")).endswith("}"))
-    documents = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<struct<{AUDIT_LINE}>>", {"allowSingleQuotes": "false"})
-    listed = whole.select(F.inline(F.array(F.struct(documents.alias("documents")))))
-    parsed = listed.where(F.size("documents") == 1).select(F.col("documents")[0].alias("line")).select("line.*")
+    whole = _once(lines).where(_ends_a_document(F.col("value")))
+    listed = whole.select(F.inline(F.array(F.struct(_documents(F.col("value")).alias("documents")))))
+    events = _event_columns(listed.where(F.size("documents") == 1).select(F.col("documents")[0].alias("line")).select("line.*"))
+    return events.where(_is_complete())
+
+
+def _once(lines: DataFrame) -> DataFrame:
+    """The lines through a generator, which keeps a computed line from being computed again for each use."""
+    return lines.select(F.explode(F.array("value")).alias("value"))
+
+
+def _ends_a_document(value: Column) -> Column:
+    """The last character tells a bracket that would close the array of `_documents` early."""
+    return F.rtrim(value, F.lit(" \t\r")).endswith("}")
+
+
+def _documents(value: Column) -> Column:
+    """A line read as the elements of an array: more than one, or anything after it, does not count as an event."""
+    return F.from_json(F.concat(F.lit("["), value, F.lit("]")), f"array<struct<{AUDIT_LINE}>>", {"allowSingleQuotes": "false"})
+
+
+def _event_columns(parsed: DataFrame, kept: list[str] | None = None) -> DataFrame:
     audit_type = F.lit(None).cast("string")
     for record_type, name in AUDIT_TYPES.items():
         audit_type = F.when(F.col("type") == record_type, F.lit(name)).otherwise(audit_type)
     is_ssh = F.col("type") == "SshAuditEvent"
-    events = parsed.select(
+    return parsed.select(
+        *(kept or []),
         F.col("event.who.access_path").alias("access_path"),
         F.col("event.session_id").alias("session_id"),
         F.col("event.who.account_id.id").alias("who"),
@@ -51,10 +67,30 @@ def parse_audit_lines(lines: DataFrame) -> DataFrame:
         F.when(is_ssh, F.col("event.result")).otherwise(F.col("event.http_status")).alias("result"),
         audit_type.alias("audit_type"),
     )
+
+
+def _is_complete() -> Column:
     complete = (F.col("audit_type") == "SSH") | F.col("http_method").isNotNull()
     for name in REQUIRED:
         complete = complete & F.col(name).isNotNull()
-    return events.where(complete)
+    return complete
+
+
+def count_rejected_lines(lines: DataFrame) -> DataFrame:
+    """(`reason`, `num_lines`) of the lines that are no complete audit events, blank ones included.
+
+    The reason is the first that holds: `no document` (not one JSON object), `unknown type`, or the
+    field that is missing or of a wrong type.
+    """
+    ended = F.when(_ends_a_document(F.col("value")), _documents(F.col("value")))
+    listed = _once(lines).select(F.inline(F.array(F.struct(ended.alias("documents")))))
+    one = F.when(F.size("documents") == 1, F.col("documents")[0])
+    events = _event_columns(listed.select(one.alias("line")).select(F.col("line").isNull().alias("_none"), "line.*"), ["_none"])
+    reason = F.when(F.col("_none"), "no document").when(F.col("audit_type").isNull(), "unknown type")
+    for name in REQUIRED:
+        reason = reason.when(F.col(name).isNull(), F.lit(name))
+    rejected = events.select(F.coalesce(_is_complete(), F.lit(False)).alias("_complete"), reason.otherwise("http_method").alias("reason"))
+    return rejected.where("NOT _complete").groupBy("reason").agg(F.count(F.lit(1)).alias("num_lines"))
 
 
 def audit_documents(events: DataFrame) -> DataFrame:
@@ -75,11 +111,11 @@ def with_event_columns(df: DataFrame) -> DataFrame:
 
 
 def filter_time_range(
-    events: DataFrame, since: str | dt.date | None = None, until: str | dt.date | None = None
+    events: DataFrame, since: str | dt.date | None = None, until: str | dt.date | None = None, whole_last_day: bool = False
 ) -> DataFrame:
     if since is None and until is None:
         return events
-    return events.where(times.within_range(F.col("time_at_start"), since, until))
+    return events.where(times.within_range(F.col("time_at_start"), since, until, whole_last_day))
 
 
 def with_time_bucket(events: DataFrame, unit: str = "hour") -> DataFrame:

@@ -24,10 +24,14 @@ COUNTED = ["events_time_bucket", "audit_type", "who", "access_path", "what", "ht
 
 
 def count_identical(
-    events: DataFrame, unit: str = "hour", since: str | dt.date | None = None, until: str | dt.date | None = None
+    events: DataFrame,
+    unit: str = "hour",
+    since: str | dt.date | None = None,
+    until: str | dt.date | None = None,
+    whole_last_day: bool = False,
 ) -> DataFrame:
     """Events within the bounds, counted per bucket and columns that decide a facet."""
-    bucketed = filter_time_range(with_event_columns(events), since, until).transform(with_time_bucket, unit)
+    bucketed = filter_time_range(with_event_columns(events), since, until, whole_last_day).transform(with_time_bucket, unit)
     return bucketed.groupBy(*COUNTED).agg(F.count(F.lit(1)).alias("num_events"))
 
 
@@ -55,6 +59,7 @@ def aggregate_events(
     unit: str = "hour",
     since: str | dt.date | None = None,
     until: str | dt.date | None = None,
+    whole_last_day: bool = False,
 ) -> DataFrame:
     """Number of events per facet combination.
 
@@ -63,7 +68,7 @@ def aggregate_events(
     bucket, and leaves the counts partitioned by their own columns, which the project lookup
     reuses. A text or user holding a third of the events is folded before the first shuffle.
     """
-    counted = count_identical(events, unit, since, until)
+    counted = count_identical(events, unit, since, until, whole_last_day)
     return facets_of_counted(counted, accounts, user_types, known_projects)
 
 
@@ -79,6 +84,8 @@ class AuditJob:
     events_time_aggregation: str = "hour"
     since: str | dt.date | None = None
     until: str | dt.date | None = None
+    #: Count the whole `until` day, not only its first instant.
+    whole_last_day: bool = False
 
 
 def build_audit_counts(spark: SparkSession, job: AuditJob) -> DataFrame:
@@ -94,6 +101,7 @@ def build_audit_counts(spark: SparkSession, job: AuditJob) -> DataFrame:
         unit=job.events_time_aggregation,
         since=job.since,
         until=job.until,
+        whole_last_day=job.whole_last_day,
     )
 
 

@@ -56,7 +56,7 @@ def read_audit_lines(spark: SparkSession, path: str, max_files: int | None = Non
 
 def count_closed_buckets(lines: DataFrame, stream: AuditStream) -> DataFrame:
     """Streaming counts of identical events; a bucket's rows come when it is closed."""
-    events = filter_time_range(parse_audit_lines(lines), stream.job.since, stream.job.until)
+    events = filter_time_range(parse_audit_lines(lines), stream.job.since, stream.job.until, stream.job.whole_last_day)
     bucketed = with_time_bucket(events, stream.job.events_time_aggregation).where(F.col("events_time_bucket").isNotNull())
     watermarked = bucketed.withWatermark("events_time_bucket", stream.delay)
     return watermarked.groupBy(*COUNTED).agg(F.count(F.lit(1)).alias("num_events"))

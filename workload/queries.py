@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from changeledger.functions import audit_fields, project_fields, text, times
 from changeledger.functions.organization import organization_of
-from changeledger.operators import as_of, audit_columns, audit_events, contributors, facet_cube, known_projects, rollup, sessions, sketches, users
+from changeledger.functions.sql import register_sql_functions
+from changeledger.operators import as_of, audit_columns, audit_events, contributors, facet_cube, hierarchy, intervals, known_projects, rollup, sessions, sketches, users
 from changeledger.plans import audit, commits, incremental, reports
 from changeledger.session import configure, scratch_dir
 from changeledger.sinks.documents import Target, write_all, write_documents, write_json
@@ -45,7 +46,7 @@ def _untyped(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in names})
 
 
-def _counts(spark: SparkSession, sf_dir: str, unit: str = "hour", **bounds: str) -> DataFrame:
+def _counts(spark: SparkSession, sf_dir: str, unit: str = "hour", **bounds: str | bool) -> DataFrame:
     return audit.aggregate_events(
         _events(spark, sf_dir),
         accounts=views.accounts(spark, sf_dir),
@@ -307,6 +308,19 @@ def f5_commit_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.groupBy("project").agg(F.count(F.lit(1)).alias("changes"), F.min("date").alias("first"), F.max("date").alias("last"))
 
 
+@query
+def f6_freeze_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commits made in each window."""
+    commits_made = views.table(spark, sf_dir, "orders").select(F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("date"))
+    found = intervals.within_intervals(commits_made, views.freeze_windows(spark, sf_dir), "date", "opens", "closes")
+    return found.groupBy("window").agg(F.count(F.lit(1)).alias("num_commits"), F.min("date").alias("first"), F.max("date").alias("last"))
+
+
+@query
+def f7_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_events.count_rejected_lines(views.audit_lines(spark, sf_dir))
+
+
 # --- joins -----------------------------------------------------------------------------------
 
 
@@ -368,6 +382,11 @@ def j8_aliases_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of.apply_aliases_as_of(rows, views.alias_history(spark, sf_dir))
 
 
+@query
+def j9_project_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hierarchy.resolve_hierarchy(views.project_parents(spark, sf_dir), views.tagged_projects(spark, sf_dir))
+
+
 # --- extraction ------------------------------------------------------------------------------
 
 
@@ -435,6 +454,19 @@ def x8_alias_organization_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contributors.apply_aliases(rows, views.aliases(spark, sf_dir)).groupBy("organization").agg(F.count(F.lit(1)).alias("contributors"))
 
 
+@query
+def x9_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 to X4 and a time bucket in SQL text."""
+    register_sql_functions(spark)
+    return spark.sql(
+        """SELECT uuid, audit_command(what, access_path, http_method) AS command, audit_command_arguments(what, access_path) AS command_arguments,
+             audit_sub_command(what, access_path) AS sub_command, CAST(epoch_ms_bucket('day', time_at_start) AS TIMESTAMP_NTZ) AS day,
+             email_organization(concat(session_id, '@', what)) AS organization
+           FROM {events}""",
+        events=_events(spark, sf_dir),
+    )
+
+
 # --- time ------------------------------------------------------------------------------------
 
 
@@ -671,6 +703,11 @@ def m4_audit_counts_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _untyped(_counts(spark, sf_dir, "hour", since=SINCE, until=UNTIL), "events_time_bucket")
 
 
+@query
+def m4_audit_counts_whole_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _untyped(_counts(spark, sf_dir, "day", since=SINCE, until=UNTIL, whole_last_day=True), "events_time_bucket")
+
+
 def _staged_audit_job(spark: SparkSession, sf_dir: str, log: str, index: Target) -> audit.AuditJob:
     """The audit job over a log, with server pages and the user list staged."""
     projects, accounts, types = (scratch_dir(spark, label) for label in ("known-projects", "accounts", "user-types"))

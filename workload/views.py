@@ -142,6 +142,25 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return account_entries(spark, sf_dir).select(F.col("_account_id").alias("account_id"), identifier.alias("identifier"))
 
 
+def freeze_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(`window`, `opens`, `closes`) per supplier, from a day to over a year; every seventh has no end."""
+    key = F.col("s_suppkey")
+    opens = F.lit(694_224_000_000) + (key * 37 % 2500) * 86_400_000
+    closes = F.when(key % 7 != 0, opens + (key % 400) * 86_400_000)
+    return table(spark, sf_dir, "supplier").select(key.alias("window"), opens.alias("opens"), closes.alias("closes"))
+
+
+def project_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(`name`, `parent`): suppliers as a tree of three children each, pairs of every 40 a cycle; the first is a root."""
+    key = F.col("s_suppkey")
+    parent = F.when(key % 40 == 10, key + 1).when(key % 40 == 11, key - 1).otherwise(F.floor(key / 3))
+    return table(spark, sf_dir, "supplier").select(_text("p", key).alias("name"), F.when(key > 2, _text("p", parent)).alias("parent"))
+
+
+def tagged_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").where("s_suppkey % 5 = 2").select(_text("p", F.col("s_suppkey")).alias("name"))
+
+
 def user_type_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed users: machinery customers are bots, furniture ones human, building ones unstated."""
     segment = F.col("c_mktsegment")
