@@ -170,3 +170,26 @@ def test_pipeline_stages(spark, tmp_path):
     _, encoded = after["byte-level BPE"]
     assert encoded.filter("NOT round_trip OR n_tokens <> size(token_ids)").count() == 0 and encoded.count() == kept.count()
     assert language_id.UNKNOWN == "und"
+
+
+CLASHING = ["n_lines", "n_dropped", "a.b", "row", "others", "site", "lines", "kept", "_keys", "_site", "score", "lang_pred", "component_id", "mark", "token_ids", "item_id"]
+
+
+@needs_tables
+def test_pipeline_keeps_columns_of_any_name(spark):
+    """Clashing and dotted names, null and very long texts, texts under one id, and no documents at all."""
+    prose = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    long = prose.where("doc_id = 3").withColumns({"text": F.repeat("text", 200), "doc_id": F.lit(10**9).cast("bigint"), "n_chars": F.col("n_chars") * 200})
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0)], prose.schema)
+    docs = prose.unionByName(long).unionByName(prose.where("doc_id = 5")).unionByName(odd)
+    wide = docs.select("*", *[F.concat(F.lit("own "), F.col("doc_id").cast("string")).alias(name) for name in CLASHING])
+    for table in (wide, wide.where("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            table = stored(stage(spark, table, SF_DIR), "clashing")
+            assert table.columns == wide.columns, name
+            own = table.select("doc_id", "text", "n_chars", *[F.col(f"`{c}`").alias(f"own{i}") for i, c in enumerate(CLASHING)])
+            right = [F.col(f"own{i}").eqNullSafe(F.concat(F.lit("own "), F.col("doc_id").cast("string"))) for i in range(len(CLASHING))]
+            wrong = own.where(~(F.col("n_chars").eqNullSafe(F.char_length("text")) & F.array_min(F.array(*right))))
+            assert wrong.isEmpty(), name
+        encoded = corpus_pipeline.STAGES[-1][1](spark, table, SF_DIR)
+        assert encoded.where("NOT round_trip").isEmpty()
