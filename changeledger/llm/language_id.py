@@ -73,6 +73,10 @@ def piece_counts(labelled: DataFrame, ranks_path: str, pattern: str) -> DataFram
     return labelled.select("lang", "text").mapInArrow(count, schema).groupBy("lang", "piece").agg(F.sum("n").alias("n"))
 
 
+#: Bytes of rows that are scored together where whole rows pass: workers keep what they once held.
+KEPT_GROUP_BYTES = 2 << 20
+
+
 @dataclass
 class LanguageModel:
     """Probabilities of the pieces, one column per language in alphabetical order."""
@@ -166,7 +170,7 @@ def keep_clear(documents: DataFrame, model: LanguageModel, ranks_path: str, leas
 
     def clear(batches: Iterable[pa.RecordBatch]):
         scorer = Scorer(model, load_ranks(ranks_path))
-        for batch in grouped(batches):
+        for batch in grouped(batches, KEPT_GROUP_BYTES):
             langs, scores = classify(decoded(batch.column("text")), model, scorer)
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in zip(langs, scores.tolist(), strict=True)]))
 
