@@ -112,3 +112,28 @@ def over_trie(words: list[bytes], pieces: Pieces, start: np.ndarray, step: Calla
         ends = rows[lengths[rows] == depth]
         result[order[ends]] = value[nodes[ends]]
     return result
+
+
+def matches(words: list[bytes], pieces: Pieces, start: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All pieces that end after `start` and up to `stop` bytes of the words: (end, word, length, number), by end and word."""
+    reach, width = pieces.lengths[-1], stop - start
+    letters = np.zeros((len(words), reach + width), np.uint64)
+    for row, word in zip(letters, words, strict=True):
+        own = word[max(0, start - reach) : stop]
+        at = max(0, reach - start)
+        row[at : at + len(own)] = np.frombuffer(own, np.uint8)
+    lengths = np.array([len(word) for word in words])
+    keys = np.zeros((len(words), width), np.uint64)
+    power = np.uint64(1)
+    found = []
+    with np.errstate(over="ignore"):
+        for length in range(1, reach + 1):
+            keys += (letters[:, reach - length + 1 : reach - length + 1 + width] + np.uint64(1)) * power
+            power *= _BASE
+            at, numbers = pieces.find(length, keys.ravel())
+            owner, end = at // width, at % width + start + 1
+            inside = (end <= lengths[owner]) & (end >= length)
+            found.append((end[inside], owner[inside], np.full(int(inside.sum()), length), numbers[inside]))
+    ends, owners, sizes, numbers = (np.concatenate(column) for column in zip(*found, strict=True))
+    order = np.lexsort((owners, ends))
+    return ends[order], owners[order], sizes[order], numbers[order]
