@@ -31,14 +31,13 @@ _BLOCK = 64
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of what is learned: examples of each class, terms, and neighbours that vote.
+    """What is learned from: examples of each class, and neighbours that vote.
 
-    A term must be in `support` examples and differ between the classes by `chi_square`. Beginnings
-    have the given numbers of letters.
+    Every term that is in `support` examples and differs between the classes by `chi_square` is
+    taken, however many there are. Beginnings have the given numbers of letters.
     """
 
     examples_per_class: int = 1500
-    terms: int = 512
     support: int = 3
     chi_square: float = 15.0
     neighbours: int = 15
@@ -54,13 +53,13 @@ def features(word: str, beginnings: tuple[int, ...]) -> list[str]:
 class ExampleIndex:
     """Inverted index of unit vectors, in blocks of examples with the largest value of each term.
 
-    The lists of a block are the rows of one small array.
+    The lists of a block are the rows of one small array, for the terms that its examples have.
     """
 
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
-    blocks: list[np.ndarray] = field(default_factory=list)
+    blocks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
     @staticmethod
@@ -69,11 +68,15 @@ class ExampleIndex:
         examples = sorted((e for e in examples if len(e[3])), key=lambda e: (e[1], e[3].tolist(), e[0]))
         index = ExampleIndex(np.array([e[0] for e in examples], np.int64), np.array([e[1] for e in examples]), np.array([e[2] for e in examples]))
         for start in range(0, len(examples), _BLOCK):
-            block = np.zeros((terms, _BLOCK))
-            for column, example in enumerate(examples[start : start + _BLOCK]):
-                block[example[3], column] = example[4]
-            index.blocks.append(block)
-        index.block_max = np.array([block.max(axis=1) for block in index.blocks]).T if index.blocks else np.zeros((terms, 0))
+            some = examples[start : start + _BLOCK]
+            own = np.unique(np.concatenate([example[3] for example in some]))
+            block = np.zeros((len(own), _BLOCK))
+            for column, example in enumerate(some):
+                block[np.searchsorted(own, example[3]), column] = example[4]
+            index.blocks.append((own, block))
+        index.block_max = np.zeros((terms, len(index.blocks)))
+        for number, (own, block) in enumerate(index.blocks):
+            index.block_max[own, number] = block.max(axis=1)
         return index
 
     def nearest(self, terms: np.ndarray, values: np.ndarray, count: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +91,10 @@ class ExampleIndex:
         for block in np.argsort(-bounds, kind="stable").tolist():
             if bounds[block] <= 0 or (len(found) == count and bounds[block] < similar[-1] - 1e-12):
                 break
-            sums = values @ self.blocks[block][terms]
+            own, lists = self.blocks[block]
+            at = np.minimum(np.searchsorted(own, terms), len(own) - 1)
+            there = own[at] == terms
+            sums = values[there] @ lists[at[there]]
             hit = np.flatnonzero(sums > 0)
             numbers = hit + block * _BLOCK
             if skip is not None:
@@ -166,7 +172,7 @@ def _examples(documents: DataFrame, labels: DataFrame, settings: Settings) -> tu
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     # The chosen ids are bounded by the settings.
-    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "label", "text")
+    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     texts = stored(texts, "toxicity-examples")
     got = {row["label"]: row["n"] for row in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     return texts, texts.mapInArrow(count, schema), {label: totals[label] / got[label] for label in got}
@@ -182,7 +188,7 @@ def _telling_words(examples: DataFrame, settings: Settings) -> list[str]:
     both, total = a + b, float(n1 + n0)
     chi_square = total * F.pow(a * (n0 - b) - b * (n1 - a), 2) / (both * (total - both) * float(n1) * float(n0))
     ranked = per_word.filter((both >= settings.support) & (both < total)).withColumn("chi", chi_square).filter(F.col("chi") >= settings.chi_square)
-    return [row["word"] for row in ranked.orderBy(F.desc("chi"), "word").limit(settings.terms).collect()]
+    return [row["word"] for row in ranked.orderBy(F.desc("chi"), "word").collect()]
 
 
 def _documents_with(documents: DataFrame, model: Toxicity) -> tuple[int, np.ndarray]:
@@ -207,8 +213,8 @@ def fit(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()
     """Learn from (doc_id, binary text) and (doc_id, label 0 or 1); null labels teach nothing.
 
     Of several labels of a document the largest counts. Examples are at most `examples_per_class` of
-    each class, chosen by a hash of the id, and stand for all of their class; word statistics are
-    those of all documents. With one class only, every text gets that class's share.
+    each class, chosen by a hash of the id, and stand for all of their class; of several texts under
+    one id the least in byte order is the example. Word statistics are those of all documents. With one class only, every text gets that class's share.
     """
     texts, examples, stands_for = _examples(documents, labels, settings)
     words = _telling_words(examples, settings)
