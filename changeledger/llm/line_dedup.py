@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from changeledger.operators.broadcasting import broadcast_if_small
 
-from .batches import with_row
+from .batches import stored, with_row
 
 #: A line on more than this share of a site's pages is boilerplate.
 MAX_RATIO = 0.05
-#: A line on fewer pages is none, however small the site.
-MIN_PAGES = 5
+#: One page repeats nothing; from two pages on the ratio alone decides.
+MIN_PAGES = 2
 
 
 def host_of(url: Column) -> Column:
@@ -40,15 +40,19 @@ def boilerplate_lines(pages: DataFrame, site_column: str, text_column: str, max_
     their lines. A site has at most its mean number of
     lines per page, divided by the ratio, of such lines, so the array of one site stays short. Lines
     are hashed before the shuffle and counted map-side, so a site with most of the pages is spread
-    over the keys of its lines.
+    over the keys of its lines. Lines and pages are counted in one reading; counts of lines on
+    `min_pages` pages or more are kept in the shared folder.
     """
     lines = F.filter(F.split(F.col(text_column), "\n"), lambda line: F.trim(line) != "")
     keys = F.array_distinct(F.transform(lines, _line_key)).alias("_keys")
     site = F.col(site_column).alias("_site")
     counting = _one_page_per_text(pages.select(site, lines.alias("_lines"), keys)) if distinct_texts else pages.select(site, keys)
-    counted = counting.select("_site", F.explode("_keys").alias("_key")).groupBy("_site", "_key").agg(F.count("*").alias("_pages"))
-    totals = counting.groupBy("_site").agg(F.count("*").alias("_total")).withColumnRenamed("_site", "_of")
-    frequent = counted.filter(F.col("_pages") >= min_pages).join(totals, F.col("_site").eqNullSafe(F.col("_of")))
+    every_page = F.lit(b"")  # no line has this key: it counts the pages of the site
+    listed = F.explode(F.concat(F.coalesce("_keys", F.array().cast("array<binary>")), F.array(every_page)))
+    counted = counting.select("_site", listed.alias("_key")).groupBy("_site", "_key").agg(F.count("*").alias("_pages"))
+    counted = stored(counted.filter((F.col("_pages") >= min_pages) | (F.col("_key") == every_page)), "line-counts")
+    totals = counted.filter(F.col("_key") == every_page).select(F.col("_site").alias("_of"), F.col("_pages").alias("_total"))
+    frequent = counted.filter((F.col("_key") != every_page) & (F.col("_pages") >= min_pages)).join(totals, F.col("_site").eqNullSafe(F.col("_of")))
     above = frequent.filter(F.col("_pages") > F.lit(max_ratio) * F.col("_total"))
     return above.groupBy("_site").agg(F.collect_set("_key").alias("_keys"))
 

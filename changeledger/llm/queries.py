@@ -57,7 +57,7 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    kept = line_dedup.drop_boilerplate(pages)
+    kept = line_dedup.drop_boilerplate(pages, distinct_texts=True)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -94,7 +94,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.with_decoded_bytes(encoded, BYTE_RANKS))
 
 
-def learn_languages(documents: DataFrame) -> language_id.LanguageModel:
+def learn_languages(documents: DataFrame) -> language_id.Learned:
     """From the documents outside the held-out fold."""
     learned = documents.filter(F.col("doc_id").isNotNull() & ~fold_is(F.col("doc_id"), 4, 2))
     labelled = id_and_text(learned).withColumn("lang", F.lit(None)) if "lang" not in documents.columns else learned.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"), "lang")
@@ -144,14 +144,19 @@ WITH lines AS (
     SELECT doc_id, source, i, string_split(text, chr(10))[i] AS line
     FROM documents, range(1, len(string_split(coalesce(text, ''), chr(10))) + 1) AS r(i)
     WHERE text IS NOT NULL
+), texts AS (
+    SELECT d.doc_id, d.source,
+        CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(trim(line, ' '), chr(10) ORDER BY i) FILTER (trim(line, ' ') <> ''), '') END AS same
+    FROM documents d LEFT JOIN lines l ON d.doc_id = l.doc_id GROUP BY d.doc_id, d.source, d.text
 ), totals AS (
-    SELECT source, count(*) AS pages FROM documents GROUP BY source
+    SELECT source, count(*) AS pages FROM (SELECT DISTINCT source, same FROM texts) GROUP BY source
+), on_pages AS (
+    SELECT DISTINCT t.source, same, trim(line, ' ') AS line FROM lines l JOIN texts t ON l.doc_id = t.doc_id WHERE trim(line, ' ') <> ''
 ), boilerplate AS (
-    SELECT l.source, trim(line, ' ') AS line
-    FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
-    WHERE trim(line, ' ') <> ''
-    GROUP BY l.source, trim(line, ' '), pages
-    HAVING count(DISTINCT doc_id) > {line_dedup.MAX_RATIO} * pages AND count(DISTINCT doc_id) >= {line_dedup.MIN_PAGES}
+    SELECT p.source, line
+    FROM on_pages p JOIN totals t ON p.source IS NOT DISTINCT FROM t.source
+    GROUP BY p.source, line, pages
+    HAVING count(*) > {line_dedup.MAX_RATIO} * pages AND count(*) >= {line_dedup.MIN_PAGES}
 ), marked AS (
     SELECT l.doc_id, l.i, l.line, b.line IS NOT NULL AS gone
     FROM lines l LEFT JOIN boilerplate b ON l.source IS NOT DISTINCT FROM b.source AND trim(l.line, ' ') = b.line

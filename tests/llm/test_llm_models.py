@@ -71,6 +71,25 @@ def test_nearest_examples_are_exact():
         assert np.allclose(similar, [-s for s, _ in brute])
 
 
+def test_all_telling_words_are_terms(spark):
+    """Over 512 words tell the classes apart; a text with the rarest of them still finds its examples."""
+    words = [chr(97 + i // 26 % 26) + chr(97 + i % 26) for i in range(676)]
+    rows = [(k, " ".join(w + w + "rude" for w in words[k % 4 :: 4]) if k % 2 else " ".join(w + w + "kind" for w in words[k % 4 :: 4])) for k in range(240)]
+    documents = id_and_text(spark.createDataFrame([*rows, (900, "zzzzrude is said"), (901, "zyzykind is said")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(240)], "doc_id long, label int")
+    model = toxicity.fit(documents, labels)
+    assert len(model.terms) > 512
+    scores = {r.doc_id: r.score for r in toxicity.predict(documents, model).collect()}
+    assert scores[900] >= 0.7 and scores[901] < 0.3
+
+
+def test_of_several_texts_of_an_example_the_least_counts(spark):
+    documents, labels, _ = labelled_corpus(spark, 3)
+    twice = documents.unionByName(documents.filter("doc_id < 50").select("doc_id", F.lit(b"~ other text").alias("text")))
+    found = [{(r.doc_id, r.score, tuple(r.evidence)) for r in toxicity.predict(documents, toxicity.fit(frame, labels)).collect()} for frame in (twice, twice.repartition(5))]
+    assert found[0] == found[1]
+
+
 def test_one_class_or_no_labels(spark):
     documents, labels, _ = labelled_corpus(spark, 2)
     for some in (labels.limit(0), labels.filter("label = 0")):
@@ -159,7 +178,7 @@ def test_pipeline_stages(spark, tmp_path):
     ids = {r.doc_id for r in kept.collect()}
     assert not ids & {10**9, 10**9 + 1, 10**9 + 2} and len(ids) >= 0.98 * (before.count() - 3)
     before, kept = after["line dedup"]
-    want = line_dedup.drop_boilerplate(before).select("doc_id", "text")
+    want = line_dedup.drop_boilerplate(before, distinct_texts=True).select("doc_id", "text")
     assert sorted(map(tuple, kept.select("doc_id", "text").collect())) == sorted(map(tuple, want.collect()))
     before, kept = after["n-gram Jaccard join"]
     found = ngram_join.similar_components(id_and_text(before), ngram_join.Similarity()).collect()

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import public_tokenizers
 import pytest
@@ -148,13 +149,74 @@ def test_word_probability_is_the_sum_over_all_segmentations():
             assert row[language] == pytest.approx(math.log(want))
 
 
+def forward_log_sum(word: bytes, pieces, row) -> float:
+    """Log of the sum over all segmentations with exact fractions, one byte after the other."""
+    forward = [Fraction(1)]
+    for end in range(1, len(word) + 1):
+        forward.append(sum((forward[start] * Fraction(float(row[number])) for start, number in pieces.ending_at(word, end)), Fraction(0)))
+    return math.log(forward[-1].numerator) - math.log(forward[-1].denominator)
+
+
+def test_long_words_are_summed_over_all_segmentations():
+    import numpy as np
+
+    ranks = bpe.load_ranks(RANKS)
+    drawn = np.random.RandomState(3).rand(max(ranks.values()) + 1, 2) ** 4 / 1000
+    scorer = language_id.Scorer(language_id.LanguageModel(["a", "b"], drawn), ranks)
+    random_ = random.Random(4)
+    words = ["".join(random_.choice("日本語学校私達行時間人大学生先東京都ありがとうございました") for _ in range(n)) for n in (15, 16, 17, 40, 200)]
+    words += ["donaudampfschifffahrtselektrizitätenhauptbetriebswerkbauunterbeamtengesellschaft", "x" * 47, "x" * 48, "ß" * 333, "the"]
+    got = scorer.log_probabilities(words)
+    for word, row in zip(words, got, strict=True):
+        for language in (0, 1):
+            assert row[language] == pytest.approx(forward_log_sum(b" " + word.encode(), scorer.pieces, scorer.probabilities[:, language]), abs=1e-6), word
+
+
+def test_very_long_words_do_not_depend_on_how_they_are_grouped():
+    import numpy as np
+
+    ranks = bpe.load_ranks(RANKS)
+    scorer = language_id.Scorer(language_id.LanguageModel(["a"], np.random.RandomState(5).rand(max(ranks.values()) + 1, 1) / 1000), ranks)
+    words = ["語" * 30_000, "ab" * 5_000, "é" * 40] + ["y" * n for n in range(48, 648)]
+    together = scorer.log_probabilities(words)
+    for i in (0, 1, 2, 3, 400, 602):
+        assert together[i] == pytest.approx(scorer.log_probabilities([words[i]])[0], rel=1e-12)
+
+
+def test_more_languages_than_one_group(spark):
+    """Scoring in groups gives what scoring all at once gives, whatever the group."""
+    base = {"en": "the cat and the dog are on the mat", "de": "der hund und die katze sind auf der matte", "fr": "le chat et le chien sont sur le tapis", "ja": "私達は東京都の大学の学生です" * 3}
+    rows = [(k, f"{text} own{chr(97 + i)}word", lang + suffix) for k, (lang, text) in enumerate(base.items()) for i, suffix in enumerate(["", "-x", "-y"])]
+    labelled = spark.createDataFrame([(i, text, lang) for i, (_, text, lang) in enumerate(rows * 2)], "doc_id long, text string, lang string")
+    labelled = labelled.select("doc_id", F.col("text").cast("binary").alias("text"), "lang")
+    texts = [*base.values(), None, "", "12", "owna word", "zzz"]
+    found = []
+    for size in (400, 5, 1):
+        model = language_id.fit(labelled, RANKS, PATTERN, per_group=size)
+        assert sum(len(one.languages) for one, _ in model.models()) == 12
+        found.append({r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(id_and_text(documents(spark, texts)), model, RANKS).collect()})
+        kept = language_id.keep_clear(documents(spark, texts), model, RANKS, 0.2)
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (lang, score) in found[-1].items() if lang != "und" and score >= 0.2)
+    for other in found[1:]:
+        assert {i: lang for i, (lang, _) in other.items()} == {i: lang for i, (lang, _) in found[0].items()}
+        assert all(other[i][1] == pytest.approx(found[0][i][1]) for i in other)
+    assert [found[0][i][0][:2] for i in range(4)] == ["en", "de", "fr", "ja"] and found[0][4] == ("und", 0.0)
+
+
+def test_more_than_400_languages_are_learned(spark):
+    rows = [(i, f"word{'abcdefghijklmnopqrst'[i % 20] * (2 + i // 20)} common", f"l{i:03d}") for i in range(401)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("doc_id", F.col("text").cast("binary").alias("text"), "lang")
+    model = language_id.fit(labelled, RANKS, PATTERN)
+    assert [(len(one.languages), last) for one, last in model.models()] == [(400, False), (1, True)]
+
+
 def test_languages(spark):
     english, german = "the cat and the dog are on the mat", "der hund und die katze sind auf der matte"
     rows = [(i, t, lang) for i, (t, lang) in enumerate([(english, "en"), (german, "de")] * 10)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     labelled = labelled.select("doc_id", F.col("text").cast("binary").alias("text"), "lang")
     model = language_id.fit(labelled.unionByName(labelled.limit(1).withColumn("lang", F.lit(None))), RANKS, PATTERN)
-    assert model.languages == ["de", "en"]
+    assert [(one.languages, last) for one, last in model.models()] == [(["de", "en"], True)]
     texts = ["the dog and the mat", "die katze und der hund", None, "", "12 !? ²", "THE CAT " * 20_000, "und " * 3 + "z" * 5_000]
     found = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(id_and_text(documents(spark, texts)), model, RANKS).collect()}
     assert [found[i][0] for i in range(7)] == ["en", "de", "und", "und", "und", "en", "de"]
@@ -190,6 +252,14 @@ def test_line_dedup_equals_the_plain_version(spark):
     assert sorted((tuple(r) for r in got), key=repr) == plain_boilerplate(pages, 0.1, 3)
 
 
+def test_in_small_sites_the_ratio_alone_decides(spark):
+    pages = [(0, "a", "menu\none"), (1, "a", "menu\ntwo"), (2, "a", "three"), (3, "b", "menu\nfour"), (4, "c", None), (5, "c", "menu"), (6, "c", "menu")]
+    frame = spark.createDataFrame(pages, "doc_id long, source string, text string")
+    for ratio, want in ((0.5, {0: "one", 1: "two"}), (0.7, {})):
+        got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(frame, max_ratio=ratio, distinct_texts=True).collect()}
+        assert got == {i: want.get(i, text) for i, _, text in pages}
+
+
 def copies_and_others(spark):
     """A third of a source are copies of one text, some with other blanks; every text has the same menu line."""
     copy = "\n".join(["menu", *(f"copied line {k} of the one text" for k in range(8))])
