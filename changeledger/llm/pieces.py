@@ -8,6 +8,7 @@ prefix is computed once, however many words share it.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 
@@ -67,12 +68,27 @@ def _slot(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
 
-def over_trie(words: list[bytes], pieces: Pieces, start: np.ndarray, step: Callable, fresh: Callable) -> np.ndarray:
+@dataclass
+class Trace:
+    """The nodes of a run over the trie, for a way back: all lists are by depth.
+
+    `order` sorts the words; `node_of` has the node of each sorted word, `heads` the first word of each
+    node, `ends` the words that end there, `values` the nodes' values.
+    """
+
+    order: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    node_of: list[np.ndarray] = field(default_factory=list)
+    heads: list[np.ndarray] = field(default_factory=list)
+    ends: list[np.ndarray] = field(default_factory=list)
+    values: list[np.ndarray] = field(default_factory=list)
+
+
+def over_trie(words: list[bytes], pieces: Pieces, start: np.ndarray, step: Callable, fresh: Callable, trace: Trace | None = None) -> np.ndarray:
     """The program's value at the end of every word (none longer than TRIE_BYTES, none with a NUL).
 
     `start` is the value of the empty prefix; `fresh(n)` makes the values of n nodes that no piece
     has reached; `step(values, at, before, numbers)` lets pieces lead from values `before` to the
-    nodes `at`.
+    nodes `at`. A `trace` is filled with the nodes.
     """
     count = len(words)
     result = fresh(count)
@@ -89,6 +105,9 @@ def over_trie(words: list[bytes], pieces: Pieces, start: np.ndarray, step: Calla
     node_of: list[np.ndarray] = [np.zeros(count, np.int32)]  # by depth: node of each word
     values: list[np.ndarray] = [start]
     result[order[lengths == 0]] = start[0]
+    if trace is not None:
+        trace.order, trace.node_of, trace.values = order, node_of, values
+        trace.heads, trace.ends = [np.zeros(1, np.int64)], [np.flatnonzero(lengths == 0)]
     for depth in range(1, int(lengths.max()) + 1):
         rows = rows[lengths[rows] >= depth]
         here = letters[rows, depth - 1]
@@ -111,6 +130,9 @@ def over_trie(words: list[bytes], pieces: Pieces, start: np.ndarray, step: Calla
         values.append(value)
         ends = rows[lengths[rows] == depth]
         result[order[ends]] = value[nodes[ends]]
+        if trace is not None:
+            trace.heads.append(heads)
+            trace.ends.append(ends)
     return result
 
 

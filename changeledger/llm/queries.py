@@ -12,7 +12,7 @@ from changeledger.session import configure
 
 from . import bpe, decontamination, digests, language_id, line_dedup, merkle, neighbours, ngram_join, quality, ranked_search, suffix_dedup, toxicity
 from .batches import fold_is, id_and_text, small_batches, stored
-from .token_counts import token_counts
+from .token_counts import learn_scores, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,7 +46,9 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
+    documents = _documents(spark, sf_dir)
+    scores = learn_scores(documents, BYTE_RANKS, public_tokenizers.PATTERN)
+    return token_counts(documents, BYTE_RANKS, public_tokenizers.PATTERN, scores)
 
 
 @query

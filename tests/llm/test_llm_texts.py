@@ -8,6 +8,7 @@ import random
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import public_tokenizers
 import pytest
 import regex
@@ -17,7 +18,8 @@ import corpus_pipeline
 from changeledger.llm import bpe, decontamination, language_id, line_dedup
 from changeledger.llm.batches import id_and_text
 from changeledger.llm.pieces import TRIE_BYTES
-from changeledger.llm.token_counts import TokenCounter, piece_scores, token_counts
+from changeledger.llm.queries import QUERIES
+from changeledger.llm.token_counts import TokenCounter, counted_scores, learn_scores, piece_scores, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -83,6 +85,7 @@ def test_no_rows_at_all(spark):
     plain = id_and_text(none)
     assert bpe.with_decoded_bytes(bpe.with_token_ids(none, RANKS, PATTERN), RANKS).count() == 0
     assert token_counts(plain, RANKS, PATTERN).count() == 0
+    assert len(set(learn_scores(plain, RANKS, PATTERN).tolist())) == 1
     model = language_id.fit(plain.withColumn("lang", F.lit(None).cast("string")), RANKS, PATTERN)
     assert language_id.predict(plain, model, RANKS).count() == 0
     items = spark.createDataFrame([], "item_id long, text string")
@@ -127,6 +130,53 @@ def test_trie_equals_the_plain_program():
         assert tuple(row) == best_segmentation(word, ranks, counter.scores), word
 
 
+def best_pieces(word: bytes, ranks, scores):
+    """Pieces of the best segmentation: highest score, fewest pieces, shortest last piece."""
+    best = {0: (0, 0, 0)}
+    for end in range(1, len(word) + 1):
+        options = [(best[s][0] + int(scores[ranks[word[s:end]]]), best[s][1] - 1, s) for s in range(end) if s in best and word[s:end] in ranks]
+        if options:
+            best[end] = max(options)
+    pieces, end = [], len(word)
+    while end in best and end:
+        pieces.append(ranks[word[best[end][2] : end]])
+        end = best[end][2]
+    return pieces
+
+
+def test_scores_are_counted_over_all_best_segmentations(spark):
+    """Against a plain count, with repeated rows, words too long for the trie, and two rounds."""
+    ranks = bpe.load_ranks(RANKS)
+    size = max(ranks.values()) + 1
+    texts = [None, "", "the theatre thereof", "the theatre thereof", "x" * (TRIE_BYTES + 9), "nul\0 within", "日本語" * 30, *(f"word{n} of the lot" for n in range(40))]
+    words = [w.encode() for text in texts for w in regex.findall(PATTERN, text or "")]
+    scores = piece_scores(size)
+    for rounds in (1, 2):
+        counts = np.zeros(size, np.int64)
+        for word in words:
+            for piece in best_pieces(word, ranks, scores):
+                counts[piece] += 1
+        scores = counted_scores(counts)
+        got = learn_scores(id_and_text(documents(spark, texts)).repartition(1 + 2 * rounds), RANKS, PATTERN, rounds)
+        assert got.tolist() == scores.tolist()
+
+
+def test_token_count_query_counts_under_the_scores_of_its_table(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    ranks = bpe.load_ranks(RANKS)
+    words = {r.doc_id: [w.encode() for w in regex.findall(PATTERN, r.text or "")] for r in texts}
+    often = Counter(w for own in words.values() for w in own)
+    counts, prior = np.zeros(max(ranks.values()) + 1, np.int64), piece_scores(max(ranks.values()) + 1)
+    for word, times in often.items():
+        np.add.at(counts, best_pieces(word, ranks, prior), times)
+    scores = counted_scores(counts)
+    cost = {word: best_segmentation(word, ranks, scores) for word in often}
+    expected = {i: (len(own), sum(cost[w][1] for w in own), sum(cost[w][0] for w in own)) for i, own in words.items()}
+    found = QUERIES["op2_token_counts"](spark, folder)
+    assert {r.doc_id: (r.n_pretokens, r.n_tokens, r.score_units) for r in found.collect()} == expected
+
+
 def all_segmentations(word: bytes, ranks, probability):
     if not word:
         return 1.0
