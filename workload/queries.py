@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from changeledger.functions import audit_fields, project_fields, text, times
 from changeledger.functions.organization import organization_of
 from changeledger.functions.sql import register_sql_functions
-from changeledger.operators import as_of, audit_columns, audit_events, contributors, facet_cube, hierarchy, intervals, known_projects, rollup, sessions, sketches, users
+from changeledger.operators import as_of, audit_columns, audit_events, contributors, facet_cube, hierarchy, intervals, known_projects, project_order, rollup, sessions, sketches, users
 from changeledger.plans import audit, commits, incremental, reports
 from changeledger.session import configure, scratch_dir
 from changeledger.sinks.documents import Target, write_all, write_documents, write_json
@@ -382,6 +382,12 @@ def j8_aliases_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_of.apply_aliases_as_of(rows, views.alias_history(spark, sf_dir))
 
 
+@query
+def j10_leading_known_project_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _events(spark, sf_dir).select("uuid", "what")
+    return project_order.match_leading_in_order(rows, "what", views.known_projects(spark, sf_dir))
+
+
 @query
 def j9_project_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.resolve_hierarchy(views.project_parents(spark, sf_dir), views.tagged_projects(spark, sf_dir))
