@@ -11,7 +11,7 @@ from changeledger.functions import audit_fields, sql, times
 from changeledger.functions.organization import organization_of
 from changeledger.operators.audit_events import count_rejected_lines, parse_audit_lines
 from changeledger.operators.hierarchy import resolve_hierarchy
-from changeledger.operators.intervals import DAY_MS, within_intervals
+from changeledger.operators.intervals import DAY_MS, summarize_within_intervals, within_intervals
 
 
 def matches(times_, intervals):
@@ -60,6 +60,63 @@ def test_a_day_with_a_third_of_the_rows_is_split(spark):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_intervals_that_become_many_blocks_are_not_broadcast_on_an_estimate(spark, monkeypatch):
+    """Spark takes an interval for one row, however many blocks it has; only a measured size may choose the broadcast."""
+    from changeledger.operators import intervals as module
+
+    monkeypatch.setattr(module, "broadcast_if_small", lambda frame: frame)
+    rows = spark.range(1000).select((F.col("id") * DAY_MS).alias("t"))
+    intervals = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * DAY_MS).alias("opens"), F.lit(None).cast("bigint").alias("closes"))
+    joined = within_intervals(rows, intervals, "t", "opens", "closes")
+    assert joined.count() == sum(1000 - k for k in range(50))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_an_interval_without_end_has_few_blocks(spark):
+    from changeledger.operators.intervals import BLOCKS_MS, _bounds, _cover
+
+    spans = spark.createDataFrame([(694_224_000_000 + 12_345, None)], "opens bigint, closes bigint")
+    assert spans.select(F.size(_cover(*_bounds("opens", "closes"), BLOCKS_MS)).alias("n")).first().n < 300
+
+
+def test_summed_up_intervals_are_the_pairs_grouped(spark, rows):
+    """Ends at any millisecond, open, empty and equal intervals; times that repeat, lie at borders, before 1970 or are null."""
+    rng = random.Random(3)
+    minute, hour = 60_000, 3_600_000
+    intervals = [(0, None, 5 * DAY_MS), (1, -7, None), (2, None, None), (3, 5, 4), (4, 0, 1024 * DAY_MS - 1), (5, 0, 1024 * DAY_MS), (6, 32 * DAY_MS, 64 * DAY_MS - 1), (7, 9, 9), (8, 10**17, None)]
+    for k in range(9, 90):
+        start = rng.randrange(-3000 * DAY_MS, 3000 * DAY_MS) // (unit := rng.choice([1, 1, minute, hour, DAY_MS])) * unit
+        intervals.append((k, start, start + rng.choice([0, 1, minute - 1, minute, rng.randrange(3 * hour), DAY_MS - 1, DAY_MS, rng.randrange(50 * DAY_MS), rng.randrange(4000 * DAY_MS)])))
+    intervals += intervals[4:20]
+    ends = [end for _, *both in intervals for end in both if end is not None and abs(end) < 10**15]
+    times_ = [rng.randrange(-3500 * DAY_MS, 4500 * DAY_MS) for _ in range(300)] + [end + step for end in ends for step in (-1, 0, 1)] * 2
+    commits = spark.createDataFrame([(t,) for t in [*times_, None]], "t bigint")
+    windows = spark.createDataFrame(intervals, "k int, opens bigint, closes bigint")
+    pairs = within_intervals(commits, windows, "t", "opens", "closes").groupBy("k", "opens", "closes")
+    expected = rows(pairs.agg(F.count(F.lit(1)), F.min("t"), F.max("t")))
+    assert len(expected) > 60
+    assert rows(summarize_within_intervals(commits, windows, "t", "opens", "closes")) == expected
+
+
+def test_rows_are_summed_up_before_they_meet_the_intervals(spark, monkeypatch):
+    """A thousand intervals over a hundred thousand times meet spans, not a hundred million pairs."""
+    from changeledger.operators import intervals as module
+
+    met = []
+
+    def within(rows, intervals, *rest):
+        met.append(within_intervals(rows, intervals, *rest))
+        return met[-1]
+
+    monkeypatch.setattr(module, "within_intervals", within)
+    commits = spark.range(100_000).select((F.col("id") * 1_234_567).alias("t"))
+    windows = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 777).alias("opens"), (F.lit(200_000_000_000) - F.col("id")).alias("closes"))
+    found = summarize_within_intervals(commits, windows, "t", "opens", "closes").collect()
+    assert {(row.k, row.num_rows) for row in found} == {(k, 100_000 - (k > 0)) for k in range(1000)}
+    assert met[0].count() < 300 * 1000
+
+
 def plain_hierarchy(parents, tags):
     found = []
     for name in parents:

@@ -312,8 +312,8 @@ def f5_commit_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f6_freeze_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Commits made in each window."""
     commits_made = views.table(spark, sf_dir, "orders").select(F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("date"))
-    found = intervals.within_intervals(commits_made, views.freeze_windows(spark, sf_dir), "date", "opens", "closes")
-    return found.groupBy("window").agg(F.count(F.lit(1)).alias("num_commits"), F.min("date").alias("first"), F.max("date").alias("last"))
+    found = intervals.summarize_within_intervals(commits_made, views.freeze_windows(spark, sf_dir), "date", "opens", "closes")
+    return found.groupBy("window").agg(F.sum("num_rows").alias("num_commits"), F.min("first").alias("first"), F.max("last").alias("last"))
 
 
 @query
