@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.audit_events import filter_time_range, parse_audit_lines, with_time_bucket
 from ..operators.broadcasting import broadcast_if_small
 from ..plans.audit import COUNTED, AuditJob, facets_of_counted
+from ..schemas import FACETS
 from ..session import configure
 from ..sources.csv_lists import read_user_types
 from ..sources.server_pages import read_accounts, read_known_projects
@@ -74,6 +75,9 @@ def _write_buckets(closed: DataFrame, job: AuditJob) -> None:
         known_projects=broadcast_if_small(read_known_projects(spark, job.known_projects_path)) if job.known_projects_path else None,
     )
     placed = counts.withColumn(_BUCKET_DIRECTORY, F.date_format("events_time_bucket", "yyyyMMddHHmmss"))
+    # By range, a quiet bucket is one file and a busy one is cut at other facets; by the shuffle of the
+    # count, every task would write a file for every bucket.
+    placed = placed.repartitionByRange(*dict.fromkeys(["events_time_bucket", *FACETS]))
     writer = placed.write.format(job.index.format).mode("overwrite").partitionBy(_BUCKET_DIRECTORY)
     writer.options(**job.index.options).option("partitionOverwriteMode", "dynamic").save(job.index.path)
 

@@ -111,3 +111,18 @@ def test_a_finished_stream_has_the_rows_of_the_batch_job(spark, live, rows):
     run()
     stream = AuditStream(job, "unused")
     assert rows(read_closed_counts(spark, stream).select(*batch.columns)) == expected
+
+
+def test_a_quiet_bucket_is_one_file_and_a_busy_one_several(live, tmp_path):
+    """Every bucket closed by one batch: files grow with buckets plus tasks, not with their product."""
+    add, run, counts, _ = live
+    busy = [line(0, who, "shop.ls.team/a", who) for who in range(400)]
+    quiet = [line(hour, who, "shop.ls.team/a", who) for hour in range(1, 21) for who in range(12)]
+    add("1", *busy, *quiet)
+    add("2", line(1000))
+    run()
+    assert sum(number for *_, number in counts()) == 640
+    files = {bucket.name: len(list(bucket.glob("*.parquet"))) for bucket in (tmp_path / "counts").glob("bucket=*")}
+    assert len(files) == 21
+    assert sum(files.values()) < 21 + 4
+    assert files["bucket=20210701120000"] > 1
