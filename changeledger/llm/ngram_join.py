@@ -176,8 +176,7 @@ def describe(documents: DataFrame, similarity: Similarity) -> DataFrame:
     Copies in different chunks count as sets that repeat each other: fewer n-grams are then their own,
     which loses no candidate.
     """
-    chunks = written_chunks(documents)
-    total = chunks.agg(F.sum(F.length("data"))).first()[0] or 0
+    chunks, total = written_chunks(documents)
     parts = int(total / _BYTES_PER_RANGE) + 1
     bits = names_bits(total)
     common = common_grams(documents, similarity)
@@ -213,7 +212,7 @@ def describe(documents: DataFrame, similarity: Similarity) -> DataFrame:
             columns.append(pa.ListArray.from_arrays(offsets, pa.array(_signed(np.concatenate([np.zeros(0, np.uint64), *listed])))))
             yield pa.RecordBatch.from_arrays(columns, names=_DESCRIBED.names)
 
-    return with_answers(chunks, repeated).mapInArrow(describe_chunks, _DESCRIBED)
+    return with_answers(chunks, total, repeated).mapInArrow(describe_chunks, _DESCRIBED)
 
 
 def _segments(documents: DataFrame, wanted: DataFrame, similarity: Similarity) -> DataFrame:

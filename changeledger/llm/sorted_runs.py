@@ -8,6 +8,7 @@ answers each run with one bit per name.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,8 +24,12 @@ from .batches import grouped
 
 #: Documents are kept together until a chunk has this many bytes.
 CHUNK_BYTES = 4 << 20
-#: Answers of this many bytes at most are sent to all executors; more are joined by chunk.
-BROADCAST_BYTES = 64 << 20
+#: Answers of this many bytes at most are sent to all executors; more are dealt to the buckets of their chunks.
+BROADCAST_BYTES = 8 << 20
+#: Bytes of text in a bucket of chunks, about.
+BUCKET_BYTES = 16 << 20
+#: A chunk's names that are sorted at a time, about.
+NAMES_AT_ONCE = 1 << 19
 
 
 def names_bits(names: float) -> int:
@@ -69,13 +74,26 @@ def _chunks(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(lay, CHUNKS)
 
 
-def written_chunks(documents: DataFrame) -> DataFrame:
-    """Write the chunks once, in the shared scratch folder; every pass reads them from there, few at a time."""
+def bucket_count(total: int) -> int:
+    """Into how many buckets chunks of so many bytes in all are written; Spark allows 100,000."""
+    return min(100_000, int(total / BUCKET_BYTES) + 1)
+
+
+def written_chunks(documents: DataFrame) -> tuple[DataFrame, int]:
+    """Write the chunks once, in the shared scratch folder, and give their bytes of text.
+
+    Every pass reads them from there, few at a time. They lie in buckets by number, about one chunk to a
+    file: a join by chunk deals out only the other side, and no reader holds many chunks at once.
+    """
     spark = documents.sparkSession
-    path = scratch_dir(spark, "chunks")
-    _chunks(documents).write.option("compression", "zstd").parquet(path)
+    total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    name, path = f"changeledger_chunks_{uuid.uuid4().hex}", scratch_dir(spark, "chunks")
+    # Only a table can be read by its buckets; its entry goes again, the files stay.
+    _chunks(documents).write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(bucket_count(total), "chunk").saveAsTable(name)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    return spark.read.schema(CHUNKS).parquet(path)
+    chunks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return chunks, total
 
 
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -91,24 +109,45 @@ def texts_of(row: dict) -> list[bytes]:
     return [row["data"][end - length : end] for end, length in zip(ends, row["lengths"], strict=True)]
 
 
+def _blocks(names: np.ndarray, parts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Neighbouring ranges, few names at a time: the ranges of a block, its end included, and which names are in them."""
+    blocks = max(1, min(parts, len(names) // NAMES_AT_ONCE))
+    for first, end in ((b * parts // blocks, (b + 1) * parts // blocks) for b in range(blocks)):
+        inside = names >= np.uint64(-(-(first << 32) // parts) << 32)
+        if end < parts:
+            inside &= names < np.uint64(-(-(end << 32) // parts) << 32)
+        yield np.arange(first, end + 1), inside
+
+
+def _edges(distinct: np.ndarray, parts: int, ranges: np.ndarray) -> np.ndarray:
+    """Where each of the ranges begins in sorted names."""
+    return np.searchsorted((distinct >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), ranges)
+
+
 def sorted_runs(chunk: int, names: np.ndarray, parts: int) -> pa.RecordBatch:
     """The chunk's distinct names by range, and which of them it has more than once."""
-    distinct, counts = np.unique(names, return_counts=True)
-    edges = np.searchsorted((distinct >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
-    rows = [(p, np.packbits(counts[a:b] > 1).tobytes(), pack(distinct[a:b])) for p, a, b in zip(range(parts), edges[:-1].tolist(), edges[1:].tolist(), strict=True) if a < b]
+    rows = []
+    for ranges, inside in _blocks(names, parts):
+        distinct, counts = np.unique(names[inside], return_counts=True)
+        edges = _edges(distinct, parts, ranges).tolist()
+        rows += [(p, np.packbits(counts[a:b] > 1).tobytes(), pack(distinct[a:b])) for p, a, b in zip(ranges[:-1].tolist(), edges[:-1], edges[1:], strict=True) if a < b]
     numbers, own, packed = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array([chunk] * len(rows), pa.int64()), pa.array(numbers, pa.int32()), pa.array(own, pa.binary()), pa.array(packed, pa.binary())], names=RUNS.names)
 
 
 def repeated_names(answers: list[dict] | None, names: np.ndarray, parts: int) -> np.ndarray:
     """Whether each of a chunk's names is repeated, from the answers of the ranges."""
-    distinct, back = np.unique(names, return_inverse=True)
-    edges = np.searchsorted((distinct >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
-    bits = np.zeros(len(distinct), bool)
-    for answer in answers or ():
-        a, b = edges[answer["part"]], edges[answer["part"] + 1]
-        bits[a:b] = np.unpackbits(np.frombuffer(zlib.decompress(answer["bits"]), np.uint8), count=b - a).astype(bool)
-    return bits[back]
+    packed = {answer["part"]: answer["bits"] for answer in answers or ()}
+    out = np.zeros(len(names), bool)
+    for ranges, inside in _blocks(names, parts):
+        distinct, back = np.unique(names[inside], return_inverse=True)
+        edges = _edges(distinct, parts, ranges).tolist()
+        bits = np.zeros(len(distinct), bool)
+        for p, a, b in zip(ranges[:-1].tolist(), edges[:-1], edges[1:], strict=True):
+            if p in packed:
+                bits[a:b] = np.unpackbits(np.frombuffer(zlib.decompress(packed[p]), np.uint8), count=b - a).astype(bool)
+        out[inside] = bits[back]
+    return out
 
 
 def merge_runs(runs: DataFrame, parts: int) -> DataFrame:
@@ -135,12 +174,16 @@ def merge_runs(runs: DataFrame, parts: int) -> DataFrame:
     return runs.repartition(parts, "part").groupBy("part").applyInArrow(merge, ANSWERS)
 
 
-def with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
-    """Each chunk with the answers it got; few bytes are broadcast, more joined by shuffling the chunks."""
+def with_answers(chunks: DataFrame, total: int, *answers: DataFrame) -> DataFrame:
+    """Each chunk with the answers it got; few bytes are broadcast, more are dealt to the chunks' buckets.
+
+    The chunks stay where they are: what is shuffled is the answers, in as many parts as there are buckets.
+    """
     out = chunks
     for position, frame in enumerate(answers):
-        per_chunk = frame.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias(f"answers_{position}"))
-        total = frame.agg(F.sum(F.length("bits") + 32)).first()[0] or 0
-        side = F.broadcast(per_chunk) if total <= BROADCAST_BYTES else per_chunk.hint("shuffle_hash")
-        out = out.join(side, "chunk", "left")
+        size = frame.agg(F.sum(F.length("bits") + 32)).first()[0] or 0
+        few = size <= BROADCAST_BYTES
+        dealt = frame if few else frame.repartition(bucket_count(total), "chunk")
+        per_chunk = dealt.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias(f"answers_{position}"))
+        out = out.join(F.broadcast(per_chunk) if few else per_chunk.hint("shuffle_hash"), "chunk", "left")
     return out

@@ -134,7 +134,7 @@ class Chunk:
         change = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(change, np.maximum(places - self.period + 1, 0), 1)
         np.add.at(change, places + 1, -1)
-        open_ = np.cumsum(change[:-1]) > 0
+        open_ = np.cumsum(change[:-1], dtype=np.int32) > 0
         for start, length in zip(self.starts.tolist(), self.lengths.tolist(), strict=True):
             open_[max(start, start + length - self.window + 1) : start + length] = False
         return np.flatnonzero(open_)
@@ -147,7 +147,7 @@ class Chunk:
         change = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(change, repeated, 1)
         np.add.at(change, repeated + self.window, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
         for start, length in zip(self.starts.tolist(), self.lengths.tolist(), strict=True):
             own = gone[start : start + length]
             removed = int(own.sum())
@@ -168,8 +168,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW_BYTES) -> DataFram
     shorter than the window keep all. Repeated rows are copies of each other and lose all that lies
     in a window. Other columns are not carried.
     """
-    chunks = written_chunks(documents)
-    total = chunks.agg(F.sum(F.length("data"))).first()[0] or 0
+    chunks, total = written_chunks(documents)
     period, cover = difference_cover(window * 3 // 4)
     sampled = total * len(cover) / period
     sample_parts = int(sampled / NAMES_PER_RANGE) + 1
@@ -195,7 +194,7 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW_BYTES) -> DataFram
         for row in rows_of(batches):
             yield sorted_runs(row["chunk"], doubtful(row)[2], window_parts)
 
-    repeated_windows = stored(merge_runs(with_answers(chunks, repeated_tuples).mapInArrow(full, RUNS), window_parts), "repeats")
+    repeated_windows = stored(merge_runs(with_answers(chunks, total, repeated_tuples).mapInArrow(full, RUNS), window_parts), "repeats")
 
     def finish(batches: Iterable[pa.RecordBatch]):
         for row in rows_of(batches):
@@ -206,4 +205,4 @@ def remove_repeats(documents: DataFrame, window: int = WINDOW_BYTES) -> DataFram
             columns = [pa.array(row["doc_ids"], pa.int64()), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans)), pa.array(hashes, pa.string()), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=_RESULT.names)
 
-    return with_answers(chunks, repeated_tuples, repeated_windows).mapInArrow(finish, _RESULT)
+    return with_answers(chunks, total, repeated_tuples, repeated_windows).mapInArrow(finish, _RESULT)
