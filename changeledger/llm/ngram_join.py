@@ -64,32 +64,37 @@ class Similarity:
         return difference * (self.scale + self.least) <= sizes * (self.scale - self.least)
 
 
+class _WordHashes(dict):
+    """Hashes of words; one that is missing is computed when it is asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class Shingler:
     """Sorted distinct n-gram hashes of texts; a text with fewer words is one n-gram."""
 
     def __init__(self, words: int) -> None:
         self.words = words
-        self._hash: dict[bytes, int] = {}
+        self._hash = _WordHashes()
 
     def grams(self, text: bytes | None) -> np.ndarray:
         words = text.lower().split() if text else []
         if not words:
             return np.zeros(0, np.uint64)
-        known = self._hash
-        if len(known) > 200_000:
-            known.clear()
-        try:
-            hashes = np.array([known[w] for w in words], np.uint64)
-        except KeyError:
-            for word in set(words).difference(known):
-                known[word] = xxhash.xxh3_64_intdigest(word)
-            hashes = np.array([known[w] for w in words], np.uint64)
+        if len(self._hash) > 200_000:
+            self._hash.clear()
+        hashes = np.fromiter(map(self._hash.__getitem__, words), np.uint64, len(words))
         size = min(self.words, len(words))
         count = len(words) - size + 1
         grams = np.full(count, size, np.uint64)
         for offset in range(size):
             grams = mixed(grams + hashes[offset : offset + count])
-        return np.unique(grams)
+        grams.sort()
+        first = np.ones(count, bool)
+        np.not_equal(grams[1:], grams[:-1], out=first[1:])
+        return grams[first]
 
 
 @dataclass(frozen=True)

@@ -9,14 +9,14 @@ import zlib
 import numpy as np
 import pytest
 
-from changeledger.llm import sorted_runs, suffix_dedup
+from changeledger.llm import ngram_join, sorted_runs, suffix_dedup
 from changeledger.llm.batches import id_and_text, small_batches
 
 
 @pytest.fixture
 def many_chunks(monkeypatch):
     """A text or two to a chunk, and nothing small enough to be broadcast."""
-    for module, name, value in ((sorted_runs, "CHUNK_BYTES", 300), (sorted_runs, "BUCKET_BYTES", 1_000), (sorted_runs, "BROADCAST_BYTES", 0), (sorted_runs, "NAMES_AT_ONCE", 16), (suffix_dedup, "NAMES_PER_RANGE", 50)):
+    for module, name, value in ((sorted_runs, "CHUNK_BYTES", 300), (sorted_runs, "BUCKET_BYTES", 1_000), (sorted_runs, "BROADCAST_BYTES", 0), (sorted_runs, "NAMES_AT_ONCE", 16), (suffix_dedup, "NAMES_PER_RANGE", 50), (ngram_join, "_BYTES_PER_RANGE", 500)):
         monkeypatch.setattr(module, name, value, raising=False)
 
 
@@ -71,3 +71,29 @@ def test_names_in_blocks_are_the_names_at_once(monkeypatch, parts):
         assert (sorted_runs.repeated_names(answers, names, parts) == (counts > 1)[back]).all()
         assert not sorted_runs.repeated_names(None, names, parts).any()
     assert (np.concatenate([sorted_runs.unpack(row["names"]) for row in at_once.to_pylist()]) == distinct).all()
+
+
+def test_ngram_sets_are_described_without_a_shuffle_of_texts(spark, many_chunks, capsys):
+    own = [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(30)]
+    near = [f"{text} end" for text in own[:10]]
+    similarity = ngram_join.Similarity(3, 90, 100)
+    rows = texts(spark, *own, *near, None)
+    described = ngram_join.describe(rows, similarity)
+    shuffled = shuffled_columns(described, capsys)
+    assert len(shuffled) == 1
+    assert "data" not in shuffled[0]
+    alone = {row["doc_id"]: (row["n_shingles"], row["own"]) for row in described.collect()}
+    assert alone == {i: (38, 0) if i < 10 else (38, 38) if i < 30 else (39, 1) if i < 40 else (0, 0) for i in range(41)}
+    found = {row["doc_id"]: row["component_id"] for row in ngram_join.similar_components(rows, similarity).collect()}
+    assert found == {i: i - 30 if 30 <= i < 40 else i for i in range(41)}
+
+
+def test_word_hashes_are_forgotten_and_found_again():
+    shingler = ngram_join.Shingler(2)
+    text = b"b a b a b c"
+    before = shingler.grams(text).tolist()
+    assert len(before) == 3 and before == sorted(set(before))
+    shingler.grams(b" ".join(b"%d" % i for i in range(200_001)))
+    assert shingler.grams(text).tolist() == before
+    assert len(shingler._hash) == 3
+    assert len(shingler.grams(b"a")) == 1 and not len(shingler.grams(b" ")) and not len(shingler.grams(None))
